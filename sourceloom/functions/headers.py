@@ -15,9 +15,18 @@ from sourceloom.functions.patterns import ANGLES, NAME, PARENS
 
 # Words that look like a call header but open a control block, and
 # words that cannot precede a declared name.
-CONTROL_WORDS = ("if", "for", "while", "switch", "catch", "synchronized", "try", "return", "else", "do",
-                 "new", "throw", "assert", "yield", "super", "this", "sizeof", "defined", "case")
-STATEMENT_WORDS = r"(?:new|return|throw|else|case|assert|yield|do|goto|instanceof|package|import|using|delete|await)"
+CONTROL_WORDS = {
+    "java": ("if", "for", "while", "switch", "catch", "synchronized", "try", "return", "else", "do", "new", "throw",
+             "assert", "yield", "super", "this", "case"),
+    "c": ("if", "for", "while", "switch", "return", "else", "do", "sizeof", "case", "defined"),
+    "cpp": ("if", "for", "while", "switch", "catch", "try", "return", "else", "do", "new", "delete", "throw", "sizeof",
+            "case", "defined", "this", "decltype"),
+}
+STATEMENT_WORDS = {
+    "java": r"(?:new|return|throw|else|case|assert|yield|do|instanceof|package|import)",
+    "c": r"(?:return|else|case|do|goto|sizeof)",
+    "cpp": r"(?:new|return|throw|else|case|do|goto|using|delete|co_await|co_yield|co_return)",
+}
 RUST_MODIFIERS = ("async", "unsafe", "const", "extern")
 JAVA_MODIFIERS = ("public", "private", "protected", "static", "final", "abstract", "synchronized", "native")
 C_MODIFIERS = ("static", "extern", "inline")
@@ -65,10 +74,10 @@ def plain(skeleton: Column, lang: str) -> Column:
 
 
 def _usable(prefix: Column, name: Column, lang: str) -> Column:
-    ok = (name != "") & ~name.isin(*CONTROL_WORDS)
-    if lang in ("java", "c", "cpp"):
-        ok &= ~prefix.rlike(rf"(?:\A|[^\w]){STATEMENT_WORDS}(?:[^\w]|\z)")
-    return ok
+    if lang not in CONTROL_WORDS:
+        return name != ""
+    misplaced = prefix.rlike(rf"(?:\A|[^\w]){STATEMENT_WORDS[lang]}(?:[^\w]|\z)")
+    return name.rlike(rf"\A(?!(?:{'|'.join(CONTROL_WORDS[lang])})\z).") & ~misplaced
 
 
 def kind(clean: Column, lang: str, terminator: Column) -> Column:
@@ -188,7 +197,7 @@ def arguments(clean: Column, lang: str) -> Column:
     if lang == "rust":
         pick = lambda e: F.trim(F.regexp_extract(
             F.regexp_replace(e, rf"\A(?:#{_SQUARE} ?)++", ""), r"\A(?:mut )?((?:[^:]|::)++):(?!:)", 1))
-        return F.filter(_names(entries, pick), lambda n: ~n.isin("self", "&self", "&mut self"))
+        return F.filter(_names(entries, pick), lambda n: ~n.rlike(r"\A(?:&(?:mut )?)?self\z"))
     if lang == "go":
         typed = rf"\A({NAME}) (?!\.\.\.)[^\s].*"
         is_named = lambda e: e.rlike(rf"\A{NAME} \S") & ~e.rlike(r"\A(?:chan|func|map|struct|interface)\b")
@@ -206,6 +215,10 @@ def arguments(clean: Column, lang: str) -> Column:
     return found
 
 
+def _words(text: Column, allowed: tuple[str, ...]) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?<![\w$])({'|'.join(allowed)})(?![\w$])"), F.lit(1))
+
+
 def modifiers(clean: Column, lang: str) -> Column:
     """Modifier words before the name, in source order."""
     allowed = {"rust": RUST_MODIFIERS, "java": JAVA_MODIFIERS, "c": C_MODIFIERS, "cpp": CPP_MODIFIERS}.get(lang)
@@ -216,8 +229,8 @@ def modifiers(clean: Column, lang: str) -> Column:
         # A quoted ABI belongs to its word, so only a bare one is a modifier.
         prefix = F.regexp_replace(prefix, r'extern ?""', " ")
         visible = F.when(prefix.rlike(r"\Apub\b"), F.array(F.lit("pub"))).otherwise(F.array().cast("array<string>"))
-        return F.concat(visible, F.filter(F.split(prefix, r"[^\w]+"), lambda w: w.isin(*allowed)))
-    return F.filter(F.split(prefix, r"[^\w]+"), lambda w: w.isin(*allowed))
+        return F.concat(visible, _words(prefix, allowed))
+    return _words(prefix, allowed)
 
 
 def return_type(clean: Column, lang: str) -> Column:

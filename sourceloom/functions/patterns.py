@@ -192,7 +192,15 @@ def last_comment(lang: str) -> tuple[str, int]:
 
 
 def strip_comments(lang: str) -> str:
-    """Replace with ``$1$1$2$2 ``: comments vanish, literals keep only their quotes."""
+    """Replace with ``$1$1$2$2 ``: comments vanish, plain literals keep only their quotes."""
     if lang == "python":
-        return rf"(?:{TRIPLE_DOUBLE}|{TRIPLE_SINGLE})|({chr(34)})(?:[^\"\\\n]++|\\(?s:.))*+\"|(')(?:[^'\\\n]++|\\(?s:.))*+'|#[^\n]*+|\\\n"
-    return rf"(\")(?:[^\"\\]++|\\(?s:.))*+\"|(')(?:[^'\\\n]|\\[^\n]{{1,10}}?)'|{comments(lang)}"
+        single = r"(')(?:[^'\\\n]++|\\(?s:.))*+'"
+        double = r'(")(?:[^"\\\n]++|\\(?s:.))*+"'
+        return rf"(?:{TRIPLE_DOUBLE}|{TRIPLE_SINGLE})|{double}|{single}|#[^\n]*+|\\\n"
+    char = r"(')(?:[^'\\\n]|\\[^\n]{1,10}?)'"
+    double = r'(")(?:[^"\\]++|\\(?s:.))*+"'
+    raw = {"rust": literals("rust", "w").split("|", 1)[0], "go": r"`[^`]*+`", "java": TRIPLE_DOUBLE,
+           "cpp": literals("cpp", "w").split('|"', 1)[0]}.get(lang)
+    parts = [comments(lang), char]
+    # Raw forms come before the plain quote they start like.
+    return "|".join(([raw] if lang in ("java", "go") else []) + [double] + parts + ([raw] if lang in ("rust", "cpp") else []))

@@ -14,7 +14,7 @@ from sourceloom.functions.text import strip_quotes
 NOT_CALLS = ("if", "for", "while", "switch", "catch", "return", "sizeof", "match", "elif", "else", "and", "or", "not",
              "in", "is", "lambda", "assert", "yield", "await", "del", "with", "except", "func", "fn",
              "def", "class", "synchronized", "throw", "new", "case", "do", "try", "super", "this", "alignof",
-             "decltype", "typeof", "defined", "select", "go", "defer", "range", "loop", "move", "where", "impl")
+             "decltype", "typeof", "int", "char", "void", "long", "short", "float", "double", "bool", "unsigned", "defined", "select", "go", "defer", "range", "loop", "move", "where", "impl")
 NOT_TYPES = ("const", "volatile", "static", "inline", "extern", "virtual", "final", "public", "private", "protected",
              "abstract", "synchronized", "native", "struct", "union", "enum", "class", "typename", "mut", "dyn", "ref",
              "impl", "where", "unsafe", "register", "restrict", "constexpr", "explicit", "friend", "chan", "map",
@@ -31,8 +31,9 @@ def _all(text: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def _without(values: Column, words: tuple[str, ...]) -> Column:
-    return F.filter(values, lambda v: (v != "") & ~v.isin(*words))
+def _except(words: tuple[str, ...]) -> str:
+    """Lookahead that refuses the whole words."""
+    return rf"(?!(?:{'|'.join(words)})(?![\p{{L}}\p{{N}}_$]))"
 
 
 def _bare(text: Column, lang: str) -> Column:
@@ -42,9 +43,7 @@ def _bare(text: Column, lang: str) -> Column:
 
 def comments(code: Column, lang: str) -> Column:
     """Comments inside a chunk, in order; text inside literals is skipped."""
-    pattern = rf"(?:{P.DOUBLE_QUOTED if lang != 'python' else P.literals(lang, 'z')}" + (
-        rf"|`[^`]*+`" if lang == "go" else "") + (
-        rf"|'(?:[^'\\\n]|\\[^\n]{{1,10}}?)'" if lang != "python" else "") + rf")|({P.comments(lang)})"
+    pattern = rf"({P.comments(lang)})|{P.literals(lang, 'z')}"
     return F.filter(_all(code, pattern, 1), lambda c: c != "")
 
 
@@ -82,10 +81,11 @@ def calls(code: Column, lang: str) -> Column:
         bare = F.regexp_replace(bare, rf"\b{declared[lang]}{NAME}(?:\s*+{ANGLES}|\s*+\[[^\[\]]*+\])?(?:\s*+\()?", " ")
         bare = F.regexp_replace(bare, r"\bpub\s*+\([^()]*+\)", " ") if lang == "rust" else bare
     else:
-        # The chunk starts with its own header: drop the declared name once.
+        # Drop the declared name of the chunk and of the functions defined inside it.
         bare = F.regexp_replace(bare, rf"\A([^(){{}};=]*?)(?<![\p{{L}}\p{{N}}_$]){NAME}\s*+\(", "$1 ")
-    found = _all(bare, rf"(?<![\p{{L}}\p{{N}}_$@])({NAME})\s*+(?:::\s*+{ANGLES}\s*+)?\(", 1)
-    return F.array_distinct(_without(found, NOT_CALLS))
+        bare = F.regexp_replace(bare, rf"(?<!\bnew )(?<=[\w>\]*&] ){NAME}(?=\s*+{PARENS}\s*+(?:const\s*+|throws\s[\w.,\s]++)?\{{)", " ")
+    return F.array_distinct(_all(
+        bare, rf"(?<![\p{{L}}\p{{N}}_$@]){_except(NOT_CALLS)}({NAME})\s*+(?:::\s*+{ANGLES}\s*+)?\(", 1))
 
 
 def attributes(lead: Column, skeleton: Column, lang: str) -> Column:
@@ -111,10 +111,10 @@ def types_used(clean: Column, lang: str) -> Column:
     elif lang == "java":
         typed = F.transform(entries, lambda e: F.regexp_replace(H.plain(e, "java"), rf"{NAME}(?: ?\[ ?\])*+\z", ""))
     else:
-        typed = F.transform(entries, lambda e: F.when(
-            H._c_declared(e) == "", e).otherwise(F.regexp_replace(F.regexp_replace(e, r" ?=.*\z", ""), rf"{NAME}(?: ?\[[^\]]*\])*\z", "")))
+        typed = F.transform(entries, lambda e: F.when(H._c_declared(e) == "", e).when(
+            e.rlike(r"\( ?[*&^]"), F.regexp_replace(e, rf"\( ?[*&^][*& ]*{NAME}", "(")).otherwise(F.regexp_replace(F.regexp_replace(e, r" ?=.*\z", ""), rf"{NAME}(?: ?\[[^\]]*\])*\z", "")))
     text = F.concat_ws(" ", typed, H.return_type(clean, lang))
-    return F.array_distinct(_without(_all(text, rf"({NAME})", 1), NOT_TYPES))
+    return F.array_distinct(_all(text, rf"(?<![\p{{L}}\p{{N}}_$]){_except(NOT_TYPES)}({NAME})", 1))
 
 
 def bases(clean: Column, lang: str) -> Column:

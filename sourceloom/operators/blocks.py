@@ -15,8 +15,14 @@ from sourceloom.functions import patterns as P
 
 
 def by_path(files: DataFrame) -> DataFrame:
-    """The one exchange of the extraction; both its branches reuse it."""
-    return files.select("path", "language", "text").repartition("path")
+    """The one exchange of the extraction; both its branches reuse it.
+
+    The count is explicit because the stages behind it cost CPU per byte:
+    compressed source text looks small to adaptive coalescing, which would
+    squeeze the work into a few tasks.
+    """
+    partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.select("path", "language", "text").repartition(partitions, "path")
 
 
 def _chars(text: Column, char: str) -> Column:
