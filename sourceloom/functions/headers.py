@@ -57,11 +57,12 @@ _CPP_CLASS_HEADER = rf"\A(?:(?:typedef|static|const|inline|friend|constexpr) )*+
 
 
 def by_language(language: Column, build: Callable[[str], Column], langs=P.LANGUAGES) -> Column:
-    """CASE over the language with one literal pattern per branch."""
-    branches = [(language == lang, build(lang)) for lang in langs]
-    result = F.when(*branches[0])
-    for condition, value in branches[1:]:
-        result = result.when(condition, value)
+    """CASE over the language with one literal pattern per branch; rows hold only ``langs``."""
+    if len(langs) == 1:
+        return build(langs[0])
+    result = F.when(language == langs[0], build(langs[0]))
+    for lang in langs[1:]:
+        result = result.when(language == lang, build(lang))
     return result
 
 

@@ -33,17 +33,17 @@ def _after_newline(text: Column) -> Column:
     return F.length(F.substring_index(text, "\n", -1))
 
 
-def pieces(placed: DataFrame) -> DataFrame:
+def pieces(placed: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     """One row per piece plus an empty one that marks the end of the file."""
     language = F.col("language")
     cut = H.by_language(
-        language, lambda lang: F.regexp_extract_all("text", F.lit(P.piece_lexer(lang)), F.lit(0))
+        language, lambda lang: F.regexp_extract_all("text", F.lit(P.piece_lexer(lang)), F.lit(0)), langs
     )
-    exploded = placed.where(language.isin(*P.LANGUAGES)).select(
+    exploded = placed.where(language.isin(*langs)).select(
         "path", "language", F.posexplode(F.array_append(cut, F.lit(""))).alias("n", "piece")
     )
     residue = H.by_language(
-        language, lambda lang: F.regexp_replace("piece", P.bracket_residue(lang), "")
+        language, lambda lang: F.regexp_replace("piece", P.bracket_residue(lang), ""), langs
     )
     marked = exploded.withColumn("residue", residue)
     python = language == "python"
@@ -126,7 +126,7 @@ def syntax_health(files: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
+def _candidates(rows: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     """Keeps pieces that open, close or declare something; drops all other text."""
     language, term, piece = F.col("language"), F.col("term"), F.col("piece")
     python = language == "python"
@@ -140,23 +140,23 @@ def _candidates(rows: DataFrame) -> DataFrame:
     header = (term == "{") | bodiless | python_header
     led = rows.withColumn("is_line", logical & ~F.col("is_end")).withColumn(
         "lead",
-        F.when(header | logical, H.by_language(language, lambda l: F.regexp_extract("piece", P.lead(l), 0))),
+        F.when(header | logical, H.by_language(language, lambda l: F.regexp_extract("piece", P.lead(l), 0), langs)),
     ).withColumn("bodiless", bodiless).withColumn("header", header)
     # The terminator is dropped, and for C++ a bodiless ``= default``.
     core = F.substring("piece", F.length("lead") + 1, F.length("piece"))
     stripped = H.by_language(
-        language, lambda l: F.regexp_replace(core, P.strip_comments(l), "$1$1$2$2 ")
+        language, lambda l: F.regexp_replace(core, P.strip_comments(l), "$1$1$2$2 "), langs
     )
     skeleton = F.trim(F.regexp_replace(F.regexp_replace(stripped, r"(?:=\s*(?:default|delete)\s*)?[{};]\s*\z", ""), r"\s++", " "))
     skeleton = F.when(python, F.trim(F.regexp_replace(stripped, r"\s++", " "))).otherwise(skeleton)
     with_skeleton = led.withColumn("skeleton", F.when(F.col("header"), skeleton))
-    clean = H.by_language(language, lambda l: H.plain(F.col("skeleton"), l))
+    clean = H.by_language(language, lambda l: H.plain(F.col("skeleton"), l), langs)
     cleaned = with_skeleton.withColumn("clean", F.when(F.col("header"), clean))
-    kind = H.by_language(language, lambda l: H.kind(F.col("clean"), l, term))
+    kind = H.by_language(language, lambda l: H.kind(F.col("clean"), l, term), langs)
     return cleaned.withColumn("kind", F.when(F.col("header"), kind))
 
 
-def paired(rows: DataFrame, keep_broken: bool = False) -> DataFrame:
+def paired(rows: DataFrame, keep_broken: bool = False, langs=P.LANGUAGES) -> DataFrame:
     """Block rows (functions, classes and other holders) with start and end positions."""
     python = F.col("language") == "python"
     order = Window.partitionBy("path").orderBy("n")
@@ -166,7 +166,13 @@ def paired(rows: DataFrame, keep_broken: bool = False) -> DataFrame:
         rows = rows.withColumn(
             "broken", F.max(F.col("stray") | F.col("unbalanced")).over(Window.partitionBy("path"))
         ).where(~F.col("broken")).drop("broken")
-    found = _candidates(rows)
+        file_end = F.lit(None).cast("struct<line:bigint,column:bigint,n:int>")
+    else:
+        # Where a block is never closed, the file's end stands in.
+        file_end = F.max(F.struct(F.col("line_end").alias("line"), F.col("column_end").alias("column"), "n")).over(
+            Window.partitionBy("path"))
+    rows = rows.withColumn("file_end", file_end)
+    found = _candidates(rows, langs)
     text = F.regexp_replace(F.col("piece"), r"\s++\z", "")
     lead = F.col("lead")
     indent_text = F.regexp_extract(F.col("lead"), r"[ \t\f]*\z", 0)
@@ -221,7 +227,7 @@ def paired(rows: DataFrame, keep_broken: bool = False) -> DataFrame:
     wanted = F.col("kind").isNotNull()
     # Blocks that are neither functions nor holders only pair up; their text is dropped here.
     light = lined.select(
-        "path", "language", "n", "depth", "kind", "bodiless", F.col("open_end").alias("open_here"),
+        "path", "language", "n", "depth", "kind", "bodiless", "file_end", F.col("open_end").alias("open_here"),
         F.when(python & wanted, body_indent).alias("body_indent"), F.when(wanted, start).alias("start"),
         *[F.when(wanted, F.col(c)).alias(f"{c}_") for c in ("lead", "skeleton", "clean")],
         events.alias("events"),
@@ -252,15 +258,16 @@ def paired(rows: DataFrame, keep_broken: bool = False) -> DataFrame:
     end = (
         F.when(F.col("bodiless"), F.col("stop"))
         .when(F.col("body_indent").isNotNull() & F.coalesce(notes != "", F.lit(False)), extended)
-        .otherwise(F.col("mate.stop"))
+        .otherwise(F.coalesce(F.col("mate.stop"), F.struct("file_end.line", "file_end.column")))
     )
+    n_end = F.when(F.col("bodiless"), F.col("n")).otherwise(F.coalesce("mate.n", "file_end.n"))
     return joined.where(wanted).select(
-        "path", "language", "n", F.when(F.col("bodiless"), F.col("n")).otherwise(F.col("mate.n")).alias("n_end"),
+        "path", "language", "n", n_end.alias("n_end"),
         "depth", "level", "kind", "bodiless", "lead", "skeleton", "clean", "start", end.alias("end"),
     )
 
 
-def scoped(blocks: DataFrame) -> DataFrame:
+def scoped(blocks: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     """Adds the nearest class-like holder and whether any ancestor gives class scope."""
     holder = F.col("kind") != "f"
     events = blocks.withColumn("event", F.explode(F.when(
@@ -271,8 +278,8 @@ def scoped(blocks: DataFrame) -> DataFrame:
         ),
     ).otherwise(F.array(F.struct(F.col("n").alias("at"), F.lit(0).alias("step"))))))
     language = F.col("language")
-    title = F.when(holder, H.by_language(language, lambda l: H.holder_name(F.col("clean"), l)))
-    word = F.when(holder, H.by_language(language, lambda l: H.holder_word(F.col("clean"), l)))
+    title = F.when(holder, H.by_language(language, lambda l: H.holder_name(F.col("clean"), l), langs))
+    word = F.when(holder, H.by_language(language, lambda l: H.holder_word(F.col("clean"), l), langs))
     step = F.col("event.step")
     order = Window.partitionBy("path").orderBy("event.at", F.when(step < 0, 0).otherwise(1))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -286,7 +293,7 @@ def scoped(blocks: DataFrame) -> DataFrame:
         F.when(step > 0, F.struct(title.alias("title"), word.alias("word"), F.col("kind"), "level")), ignorenulls=True
     ).over(near.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     found = counted.select("*", nearest.alias("holder")).where(step >= 0)
-    name = H.by_language(language, lambda l: H.name(F.col("clean"), l))
+    name = H.by_language(language, lambda l: H.name(F.col("clean"), l), langs)
     typed = found.withColumn("name", F.when(F.col("kind") == "f", name).otherwise(title))
     at_top = (F.col("depth") == 0) | F.coalesce(F.col("holder.level") == F.col("depth"), F.lit(False))
     declared = F.regexp_replace(F.regexp_extract("clean", H.FUNCTION["java"], 1), P.ANGLES, "")

@@ -12,9 +12,17 @@ from sourceloom.operators.blocks import by_path, located, paired, pieces, scoped
 from sourceloom.schema import CHUNKS
 
 
-def block_table(files: DataFrame, keep_broken: bool = False) -> DataFrame:
+def _languages(languages) -> tuple[str, ...]:
+    unknown = set(languages or ()) - set(P.LANGUAGES)
+    if unknown:
+        raise ValueError(f"unknown languages: {sorted(unknown)}")
+    return tuple(languages or P.LANGUAGES)
+
+
+def block_table(files: DataFrame, keep_broken: bool = False, languages=None) -> DataFrame:
     """Located functions and class-like holders, without their text."""
-    return scoped(paired(located(pieces(by_path(files))), keep_broken))
+    langs = _languages(languages)
+    return scoped(paired(located(pieces(by_path(files), langs)), keep_broken, langs), langs)
 
 
 def _cut(lines: Column, span: Column) -> Column:
@@ -31,7 +39,7 @@ def _byte_column(lines: Column, point: Column) -> Column:
     return F.octet_length(F.left(line, point["column"].cast("int")))
 
 
-def attach_text(blocks: DataFrame, files: DataFrame) -> DataFrame:
+def attach_text(blocks: DataFrame, files: DataFrame, with_imports: bool = True, langs=P.LANGUAGES) -> DataFrame:
     """Adds ``code`` and byte columns by a co-partitioned join on path.
 
     The grouped side holds the few spans of a file, the other side is the same
@@ -50,7 +58,8 @@ def attach_text(blocks: DataFrame, files: DataFrame) -> DataFrame:
         ))
 
     texts = F.element_at(F.transform(F.array(F.split("text", "\n")), enrich), 1)
-    imports = H.by_language(F.col("language"), lambda l: R.imports(F.col("text"), l))
+    empty = F.array().cast("array<string>")
+    imports = H.by_language(F.col("language"), lambda l: R.imports(F.col("text"), l), langs) if with_imports else empty
     return joined.select(
         "path", "language", imports.alias("imports"), F.explode(texts).alias("item")
     ).select("path", "language", "imports", "item.code", "item.start_column", "item.end_column", "item.span.*")
@@ -83,52 +92,60 @@ def _scope(lang: str) -> tuple[Column, Column]:
     return scope, method.otherwise("function")
 
 
-def described(located_blocks: DataFrame) -> DataFrame:
-    """All chunk attributes; the skeleton and lead stay for the enrichment operators."""
+EXTRAS = ("attributes", "types_used")
+
+
+def described(located_blocks: DataFrame, columns, langs=P.LANGUAGES) -> DataFrame:
+    """The wanted chunk attributes; expressions of other columns are not even built."""
     language, clean, code = F.col("language"), F.col("clean"), F.col("code")
-    pick = lambda build: H.by_language(language, build)
+    pick = lambda build: H.by_language(language, build, langs)
     function = F.col("kind") == "f"
     empty = F.array().cast("array<string>")
-    return located_blocks.select(
-        "name", "code", F.col("path").alias("file_path"),
-        (F.col("start.line") + 1).cast("int").alias("start_line"),
-        (F.col("end.line") + 1).cast("int").alias("end_line"),
-        "start_column", "end_column", "language",
-        F.when(function, pick(lambda l: _scope(l)[1])).otherwise("class").alias("function_type"),
-        F.when(function, pick(lambda l: H.arguments(clean, l))).otherwise(empty).alias("arguments"),
-        F.when(function, pick(lambda l: H.return_type(clean, l))).alias("return_type"),
-        pick(_docstring).alias("docstring"),
-        pick(lambda l: R.comments(code, l)).alias("comments"),
-        F.when(function, pick(lambda l: H.modifiers(clean, l))).otherwise(empty).alias("modifiers"),
-        F.when(function, pick(lambda l: _scope(l)[0])).otherwise(
-            F.when(F.col("holder.title").isNull() | (F.col("classes") <= 1), "global").otherwise("class")
-        ).alias("scope"),
-        "imports",
-        F.when(function, pick(lambda l: R.calls(code, l))).otherwise(empty).alias("calls"),
-        X.complexity(code).alias("complexity"),
-        X.loc(code).alias("loc"),
-        X.comment_lines(code).alias("comment_lines"),
-        pick(lambda l: R.attributes(F.col("lead"), F.col("skeleton"), l)).alias("attributes"),
-        F.when(function, pick(lambda l: R.types_used(clean, l))).otherwise(empty).alias("types_used"),
-    )
-
-
-def extract_functions(files: DataFrame, on_error: str = "drop", include_classes: bool = False) -> DataFrame:
+    listed = lambda build: F.when(function, pick(build)).otherwise(empty)
+    holder_scope = F.when(F.col("holder.title").isNull() | (F.col("classes") <= 1), "global").otherwise("class")
+    projections = {
+        "name": lambda: F.col("name"),
+        "code": lambda: code,
+        "file_path": lambda: F.col("path"),
+        "start_line": lambda: (F.col("start.line") + 1).cast("int"),
+        "end_line": lambda: (F.col("end.line") + 1).cast("int"),
+        "start_column": lambda: F.col("start_column"),
+        "end_column": lambda: F.col("end_column"),
+        "language": lambda: language,
+        "function_type": lambda: F.when(function, pick(lambda l: _scope(l)[1])).otherwise("class"),
+        "arguments": lambda: listed(lambda l: H.arguments(clean, l)),
+        "return_type": lambda: F.when(function, pick(lambda l: H.return_type(clean, l))),
+        "docstring": lambda: pick(_docstring),
+        "comments": lambda: pick(lambda l: R.comments(code, l)),
+        "modifiers": lambda: listed(lambda l: H.modifiers(clean, l)),
+        "scope": lambda: F.when(function, pick(lambda l: _scope(l)[0])).otherwise(holder_scope),
+        "imports": lambda: F.col("imports"),
+        "calls": lambda: listed(lambda l: R.calls(code, l)),
+        "complexity": lambda: X.complexity(code),
+        "loc": lambda: X.loc(code),
+        "comment_lines": lambda: X.comment_lines(code),
+        "attributes": lambda: pick(lambda l: R.attributes(F.col("lead"), F.col("skeleton"), l)),
+        "types_used": lambda: listed(lambda l: R.types_used(clean, l)),
+    }
+    return located_blocks.select(*[projections[c]().alias(c) for c in columns])
+
+
+def extract_functions(
+    files: DataFrame, on_error: str = "drop", include_classes: bool = False, languages=None, columns=None
+) -> DataFrame:
     """``files(path, language, text)`` → one row per function, nested ones included.
 
     ``path`` must identify a file; prefix it with the repository for several
     repositories.  Files that fail the syntax check yield no row unless
-    ``on_error="keep"``.
+    ``on_error="keep"``.  ``languages`` and ``columns`` narrow the plan itself.
     """
     if on_error not in ("drop", "keep"):
         raise ValueError("on_error must be 'drop' or 'keep'")
-    blocks = block_table(files, on_error == "keep")
+    langs = _languages(languages)
+    columns = tuple(columns or (*CHUNKS.fieldNames(), *EXTRAS))
+    blocks = block_table(files, on_error == "keep", langs)
     blocks = blocks.where((F.col("kind") == "f") | is_class_like()) if include_classes else blocks.where("kind = 'f'")
-    if on_error == "keep":
-        # An unclosed block has no end; it is kept up to its own header.
-        end = F.coalesce(F.col("end"), F.col("start"))
-        blocks = blocks.withColumn("end", end)
-    return described(attach_text(blocks, files)).select(*CHUNKS.fieldNames(), "attributes", "types_used")
+    return described(attach_text(blocks, files, "imports" in columns, langs), columns, langs)
 
 
 def is_class_like() -> Column:
@@ -136,10 +153,11 @@ def is_class_like() -> Column:
     return (F.col("kind") == "c") | ((F.col("kind") == "k") & (F.col("language") == "java") & (F.col("name") != ""))
 
 
-def class_edges(files: DataFrame) -> DataFrame:
+def class_edges(files: DataFrame, languages=None) -> DataFrame:
     """``(file_path, class_name, base)`` for every declared base or implemented trait."""
-    blocks = block_table(files).where(is_class_like())
-    bases = H.by_language(F.col("language"), lambda l: R.bases(F.col("clean"), l))
+    langs = _languages(languages)
+    blocks = block_table(files, languages=langs).where(is_class_like())
+    bases = H.by_language(F.col("language"), lambda l: R.bases(F.col("clean"), l), langs)
     return blocks.select(
         F.col("path").alias("file_path"), "language", F.col("name").alias("class_name"),
         F.explode(bases).alias("base"),
