@@ -12,6 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from sourceloom.functions import patterns as P
 from sourceloom.functions.patterns import ANGLES, NAME, PARENS
+from sourceloom.functions.text import bound
 
 # Words that look like a call header but open a control block, and
 # words that cannot precede a declared name.
@@ -66,12 +67,30 @@ def by_language(language: Column, build: Callable[[str], Column], langs=P.LANGUA
     return result
 
 
+# Noise is rare, so its removal hides behind a plain substring test.
+_NOISE = {"java": (_ANNOTATION, ("@",)), "c": (_C_NOISE, ("__", "[[", "alignas")),
+          "cpp": (_C_NOISE, ("__", "[[", "alignas", "explicit"))}
+
+
 def plain(skeleton: Column, lang: str) -> Column:
     """Skeleton without annotations (Java) or attribute noise (C, C++)."""
-    noise = {"java": _ANNOTATION, "c": _C_NOISE, "cpp": _C_NOISE}.get(lang)
-    if noise is None:
+    if lang not in _NOISE:
         return skeleton
-    return F.trim(F.regexp_replace(F.regexp_replace(skeleton, noise, " "), " ++", " "))
+    noise, signs = _NOISE[lang]
+    present = skeleton.contains(signs[0])
+    for sign in signs[1:]:
+        present |= skeleton.contains(sign)
+    return F.when(present, F.trim(F.regexp_replace(F.regexp_replace(skeleton, noise, " "), "  ++", " "))).otherwise(skeleton)
+
+
+def opens_candidate(piece: Column, core: Column, lang: str) -> Column:
+    """Cheap test that rules out most control blocks before any header is parsed."""
+    if lang == "rust":
+        return piece.contains("fn") | piece.contains("impl")
+    if lang == "go":
+        return core.startswith("func")
+    control = "if|else|for|while|do|switch" + ("" if lang == "c" else "|try|catch|finally")
+    return ~core.rlike(rf"\A(?:{control})\b")
 
 
 def _usable(prefix: Column, name: Column, lang: str) -> Column:
@@ -166,54 +185,50 @@ def split_parameters(params: Column, lang: str) -> Column:
     return F.filter(entries, lambda e: e != "")
 
 
-def _names(entries: Column, pick: Callable[[Column], Column]) -> Column:
-    return F.filter(F.transform(entries, pick), lambda n: n != "")
-
-
 _C_WORDS = r"(?:unsigned|signed|long|short|int|char|float|double|void|bool|_Bool|auto|wchar_t|char8_t|char16_t|char32_t)"
+_C_SKIPPED = rf" ?=.*\z|{_C_NOISE}|\b(?:const|volatile|restrict|__restrict|register|static)\b|{ANGLES}"
+_C_TYPE = rf"\b(?:struct|union|enum|class|typename) (?:{NAME}::)*{NAME}|\b{_C_WORDS}(?: ++{_C_WORDS})*+\b"
+_C_POINTED = rf"\( ?(?:{NAME}::)?[*&^][*& ]*({NAME})"
+_C_NAMED = rf"\A ?(?:::)?{NAME}(?: ?:: ?{NAME})*+(?: ?[*&]++ ?| )++({NAME})(?: ?{_SQUARE})*+ ?\z"
 
 
 def _c_declared(entry: Column) -> Column:
     """Declared identifier of a C or C++ parameter; empty for types alone."""
-    text = F.regexp_replace(entry, r" ?=.*\z", "")
-    text = F.regexp_replace(text, rf"(?:{_C_NOISE})|\b(?:const|volatile|restrict|__restrict|register|static)\b", " ")
-    text = F.regexp_replace(text, rf"{ANGLES}", " ")
-    text = F.regexp_replace(text, rf"\b(?:struct|union|enum|class|typename) (?:{NAME}::)*{NAME}|\b{_C_WORDS}(?: ++{_C_WORDS})*+\b", "T ")
-    text = F.trim(F.regexp_replace(text, " ++", " "))
-    pointer = F.regexp_extract(text, rf"\( ?(?:{NAME}::)?[*&^][*& ]*({NAME})", 1)
-    text = F.regexp_replace(text, rf"(?: ?{_SQUARE})++\z", "")
-    named = F.regexp_extract(text, rf"\A(?:::)?{NAME}(?: ?:: ?{NAME})*+(?: ?[*&]++ ?| )++({NAME})\z", 1)
-    return F.when(pointer != "", pointer).otherwise(named)
-
-
-def arguments(clean: Column, lang: str) -> Column:
-    """Argument names as the reference reports them, in order."""
-    entries = split_parameters(parameters(clean, lang), lang)
+    typed = F.regexp_replace(F.regexp_replace(entry, _C_SKIPPED, " "), _C_TYPE, "T ")
+    return bound(F.regexp_replace(typed, "  ++", " "), lambda t: F.when(
+        t.rlike(_C_POINTED), F.regexp_extract(t, _C_POINTED, 1)).otherwise(F.regexp_extract(t, _C_NAMED, 1)))
+
+
+def entry_names(entries: Column, lang: str) -> Column:
+    """The reported name of every parameter entry, empty for those not reported."""
     if lang == "python":
-        bare, typed, default = rf"\A({NAME})\z", rf"\A({NAME}) ?:[^=]*\z", rf"\A({NAME}) ?=.*\z"
-        # A dictionary or slice in a default holds ':' after '='; an annotation with a default is not reported.
-        pick = lambda e: F.when(e.rlike(bare) | e.rlike(typed) | e.rlike(default),
-                                F.regexp_extract(e, rf"\A({NAME})", 1)).otherwise("")
-        return F.filter(_names(entries, pick), lambda n: n != "self")
+        # An annotated entry with a default is not reported, nor are starred ones.
+        pattern = rf"\A({NAME})(?: ?=.*| ?:[^=]*+)?\z"
+        return F.transform(entries, lambda e: F.regexp_extract(e, pattern, 1))
     if lang == "rust":
-        pick = lambda e: F.trim(F.regexp_extract(
-            F.regexp_replace(e, rf"\A(?:#{_SQUARE} ?)++", ""), r"\A(?:mut )?((?:[^:]|::)++):(?!:)", 1))
-        return F.filter(_names(entries, pick), lambda n: ~n.rlike(r"\A(?:&(?:mut )?)?self\z"))
+        pattern = rf"\A(?:#{_SQUARE} ?)*+(?:mut )?((?:[^:]|::)++):(?!:)"
+        return F.transform(entries, lambda e: F.trim(F.regexp_extract(e, pattern, 1)))
     if lang == "go":
-        typed = rf"\A({NAME}) (?!\.\.\.)[^\s].*"
-        is_named = lambda e: e.rlike(rf"\A{NAME} \S") & ~e.rlike(r"\A(?:chan|func|map|struct|interface)\b")
-        pick = lambda e: F.when(e.rlike(rf"\A{NAME}\z"), e).otherwise(F.regexp_extract(e, typed, 1))
-        return F.when(F.exists(entries, is_named), _names(entries, pick)).otherwise(F.array().cast("array<string>"))
+        named = rf"\A(?!(?:chan|func|map|struct|interface)\b){NAME} \S"
+        pattern = rf"\A({NAME})(?: (?!\.\.\.)\S.*)?\z"
+        return F.when(
+            F.exists(entries, lambda e: e.rlike(named)), F.transform(entries, lambda e: F.regexp_extract(e, pattern, 1))
+        ).otherwise(F.array().cast("array<string>"))
     if lang == "java":
-        named = F.transform(entries, lambda e: plain(e, "java"))
-        return F.filter(_names(named, lambda e: F.regexp_extract(
-            F.when(e.contains("..."), "").otherwise(e), rf"[>\]\p{{L}}\p{{N}}_] ?{_BOUNDARY}({NAME})(?: ?\[ ?\])*+\z", 1)),
-            lambda n: n != "this")
-    found = _names(entries, _c_declared)
-    if lang == "c":
-        stars = F.regexp_extract(clean, FUNCTION["c"], 1).rlike(r"\*[^*]*\* ?(?:const ?)?\z")
-        return F.when(stars, F.array().cast("array<string>")).otherwise(found)
-    return found
+        pattern = rf"\A(?!.*\.\.\.).*[>\]\p{{L}}\p{{N}}_] ?{_BOUNDARY}({NAME})(?: ?\[ ?\])*+\z"
+        return F.transform(entries, lambda e: F.regexp_extract(e, pattern, 1))
+    return F.transform(entries, _c_declared)
+
+
+def arguments(names: Column, clean: Column, lang: str) -> Column:
+    """Argument names as the reference reports them, in order."""
+    left_out = {"python": r"self", "rust": r"(?:&(?:mut )?)?self", "java": "this"}.get(lang)
+    kept = F.filter(names, lambda n: n != "" if left_out is None else ~n.rlike(rf"\A(?:{left_out})?\z"))
+    if lang != "c":
+        return kept
+    # Parameters behind more than one level of pointer result are not seen.
+    stars = F.regexp_extract(clean, FUNCTION["c"], 1).rlike(r"\*[^*]*\* ?(?:const ?)?\z")
+    return F.when(stars, F.array().cast("array<string>")).otherwise(kept)
 
 
 def _words(text: Column, allowed: tuple[str, ...]) -> Column:

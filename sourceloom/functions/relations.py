@@ -101,19 +101,19 @@ def attributes(lead: Column, skeleton: Column, lang: str) -> Column:
     return _all(skeleton, r"(\[\[[^\]]*+\]\])", 1)
 
 
-def types_used(clean: Column, lang: str) -> Column:
-    """Distinct type names in the parameter list and result of a header."""
-    entries = H.split_parameters(H.parameters(clean, lang), lang)
+def types_used(entries: Column, names: Column, result: Column, lang: str) -> Column:
+    """Distinct type names in the parameter entries and the result type of a header."""
     if lang in ("python", "rust"):
-        typed = F.transform(entries, lambda e: F.regexp_extract(F.regexp_replace(e, r"=(?!.*[\[\]]).*\z", ""), r"\A[^:]*:(?!:)(.*)\z", 1))
+        typed = F.transform(entries, lambda e: F.regexp_extract(e, r"\A[^:=]*+:(?!:)([^=]*+)", 1))
     elif lang == "go":
         typed = F.transform(entries, lambda e: F.regexp_extract(e, rf"\A{NAME} (.*)\z", 1))
     elif lang == "java":
         typed = F.transform(entries, lambda e: F.regexp_replace(H.plain(e, "java"), rf"{NAME}(?: ?\[ ?\])*+\z", ""))
     else:
-        typed = F.transform(entries, lambda e: F.when(H._c_declared(e) == "", e).when(
-            e.rlike(r"\( ?[*&^]"), F.regexp_replace(e, rf"\( ?[*&^][*& ]*{NAME}", "(")).otherwise(F.regexp_replace(F.regexp_replace(e, r" ?=.*\z", ""), rf"{NAME}(?: ?\[[^\]]*\])*\z", "")))
-    text = F.concat_ws(" ", typed, H.return_type(clean, lang))
+        pointed, last = rf"\( ?[*&^][*& ]*{NAME}", rf" ?=.*\z|{NAME}(?: ?\[[^\]]*+\])*+(?=(?: ?=.*)?\z)"
+        typed = F.zip_with(entries, names, lambda e, n: F.when(n == "", e).when(
+            e.rlike(pointed), F.regexp_replace(e, pointed, "(")).otherwise(F.regexp_replace(e, last, "")))
+    text = F.concat_ws(" ", typed, result)
     return F.array_distinct(_all(text, rf"(?<![\p{{L}}\p{{N}}_$]){_except(NOT_TYPES)}({NAME})", 1))
 
 

@@ -20,6 +20,11 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def comment_lines(text: Column) -> Column:
     """Lines whose first visible characters look like a comment."""
     return _count(text, _COMMENT_LINE)
@@ -45,14 +50,15 @@ def trim_blank(text: Column) -> Column:
     return F.regexp_replace(text, rf"\A{any_blank}++|{any_blank}++\z", "")
 
 
+# A line start: blanks, one leading star, blanks.
+_MARGIN = rf"{BLANK}*+(?:\*{BLANK}*+)?"
+
+
 def clean_block_comment(comment: Column) -> Column:
     """Text of a ``/** … */`` comment on one line; NULL for other comments or no text."""
     inner = F.substring(comment, F.lit(4), F.greatest(F.length(comment) - 5, F.lit(0)))
-    lines = F.transform(
-        F.split(inner, "\n"),
-        lambda line: trim_blank(F.regexp_replace(trim_blank(line), r"\A\*", "")),
-    )
-    joined = F.array_join(F.filter(lines, lambda line: line != ""), " ")
+    headless = F.regexp_replace(inner, rf"\A{_MARGIN}(?:\n{_MARGIN})*+", "")
+    joined = trim_blank(F.regexp_replace(headless, rf"{BLANK}*+(?:\n{_MARGIN})++", " "))
     return F.when(comment.startswith("/**"), F.nullif(joined, F.lit("")))
 
 

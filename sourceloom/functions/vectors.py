@@ -21,14 +21,27 @@ def bucket(token: Column, dimension: int) -> Column:
 
 
 def hashed_vector(words: Column, dimension: int = DIMENSION) -> Column:
-    """Dense token counts by bucket, computed inside the row: nothing is shuffled."""
-    buckets = F.transform(words, lambda w: bucket(w, dimension))
-    count = lambda found: F.transform(
-        F.sequence(F.lit(0), F.lit(dimension - 1)),
-        lambda b: (F.size(found) - F.size(F.array_remove(found, b.cast("bigint")))).cast("float"),
+    """Dense token counts by bucket, computed inside the row: nothing is shuffled.
+
+    One pass over the sorted buckets; zeros are filled in between them, so the
+    work is one step per token and one append per distinct bucket.
+    """
+    buckets = F.array_sort(F.transform(words, lambda w: bucket(w, dimension).cast("int")))
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("float"), n)
+    start = F.struct(
+        F.array().cast("array<float>").alias("done"), F.lit(0).alias("at"), F.lit(0).cast("float").alias("count")
     )
-    # Bound once through an outer array, so the buckets are not hashed per position.
-    return F.element_at(F.transform(F.array(buckets), count), 1)
+
+    def step(state: Column, position: Column) -> Column:
+        moved = F.struct(
+            F.concat(state["done"], F.array(state["count"]), zeros(position - state["at"] - 1)).alias("done"),
+            position.alias("at"), F.lit(1).cast("float").alias("count"),
+        )
+        same = F.struct(state["done"].alias("done"), state["at"].alias("at"), (state["count"] + 1).cast("float").alias("count"))
+        return F.when(position == state["at"], same).otherwise(moved)
+
+    finish = lambda state: F.concat(state["done"], F.array(state["count"]), zeros(F.lit(dimension - 1) - state["at"]))
+    return F.aggregate(buckets, start, step, finish)
 
 
 def norm(vector: Column) -> Column:

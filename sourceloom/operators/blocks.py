@@ -51,20 +51,19 @@ def pieces(placed: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     term = F.when(
         ~python & last.isin("{", "}", ";") & (F.right("residue", F.lit(1)) == last), last
     ).otherwise("")
-    pairs = F.when(python, F.regexp_replace("residue", r"[^()\[\]{}]", "")).otherwise(
-        F.regexp_replace("residue", r"[^()\[\]]", "")
+    pairs = F.translate(F.col("residue"), "{};\"'`/#", "")
+    marked = marked.withColumn("term", term).withColumn(
+        "pairs", F.when(python, F.translate(F.col("residue"), "\"'#", "")).otherwise(pairs)
     )
-    rest = pairs
-    for _ in range(2):
-        rest = F.when(rest == "", "").otherwise(F.regexp_replace(rest, P.balanced("()[]{}", 3), ""))
+    # Two rounds take out balanced groups; what stays is open towards other pieces.
+    unmatched = F.regexp_replace(F.regexp_replace("pairs", P.balanced("()[]{}", 3), ""), P.balanced("()[]{}", 3), "")
     return marked.select(
-        "path", "language", "n", "piece",
-        term.alias("term"),
+        "path", "language", "n", "piece", "term",
         F.length("piece").alias("len"),
         _chars(F.col("piece"), "\n").alias("nl"),
         F.col("residue").rlike(r"[\"'`/#]").alias("stray"),
-        rest.alias("rest"),
-        (F.when(term == "{", 1).when(term == "}", -1).otherwise(0)).alias("brace"),
+        F.when(F.col("pairs") == "", "").otherwise(unmatched).alias("rest"),
+        (F.when(F.col("term") == "{", 1).when(F.col("term") == "}", -1).otherwise(0)).alias("brace"),
     )
 
 
@@ -137,18 +136,25 @@ def _candidates(rows: DataFrame, langs=P.LANGUAGES) -> DataFrame:
         | ((language == "cpp") & piece.rlike(r"=\s*(?:default|delete)\s*;\z"))
     )
     python_header = logical & piece.rlike(r"(?m)^[ \t\f]*+(?:async[ \t]+def|def|class)\b")
-    header = (term == "{") | bodiless | python_header
-    led = rows.withColumn("is_line", logical & ~F.col("is_end")).withColumn(
+    opener = term == "{"
+    led = rows.withColumn("is_line", logical & ~F.col("is_end")).withColumn("bodiless", bodiless).withColumn(
         "lead",
-        F.when(header | logical, H.by_language(language, lambda l: F.regexp_extract("piece", P.lead(l), 0), langs)),
-    ).withColumn("bodiless", bodiless).withColumn("header", header)
-    # The terminator is dropped, and for C++ a bodiless ``= default``.
+        F.when(opener | F.col("bodiless") | logical,
+               H.by_language(language, lambda l: F.regexp_extract("piece", P.lead(l), 0), langs)),
+    )
     core = F.substring("piece", F.length("lead") + 1, F.length("piece"))
+    likely = H.by_language(
+        language, lambda l: F.lit(False) if l == "python" else H.opens_candidate(piece, core, l), langs
+    )
+    led = led.withColumn("header", F.col("bodiless") | python_header | (opener & likely))
     stripped = H.by_language(
         language, lambda l: F.regexp_replace(core, P.strip_comments(l), "$1$1$2$2 "), langs
     )
-    skeleton = F.trim(F.regexp_replace(F.regexp_replace(stripped, r"(?:=\s*(?:default|delete)\s*)?[{};]\s*\z", ""), r"\s++", " "))
-    skeleton = F.when(python, F.trim(F.regexp_replace(stripped, r"\s++", " "))).otherwise(skeleton)
+    # The terminator is dropped, and for C++ a bodiless ``= default``.
+    skeleton = F.trim(F.regexp_replace(
+        F.regexp_replace(stripped, r"(?:=\s*(?:default|delete)\s*)?[{};]\s*\z", ""), r"\s\s++|[^\S ]", " "))
+    if "python" in langs:
+        skeleton = F.when(python, F.trim(F.regexp_replace(stripped, r"\s\s++|[^\S ]", " "))).otherwise(skeleton)
     with_skeleton = led.withColumn("skeleton", F.when(F.col("header"), skeleton))
     clean = H.by_language(language, lambda l: H.plain(F.col("skeleton"), l), langs)
     cleaned = with_skeleton.withColumn("clean", F.when(F.col("header"), clean))

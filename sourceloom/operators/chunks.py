@@ -98,6 +98,7 @@ EXTRAS = ("attributes", "types_used")
 def described(located_blocks: DataFrame, columns, langs=P.LANGUAGES) -> DataFrame:
     """The wanted chunk attributes; expressions of other columns are not even built."""
     language, clean, code = F.col("language"), F.col("clean"), F.col("code")
+    entries, names = F.col("entries"), F.col("names")
     pick = lambda build: H.by_language(language, build, langs)
     function = F.col("kind") == "f"
     empty = F.array().cast("array<string>")
@@ -113,8 +114,8 @@ def described(located_blocks: DataFrame, columns, langs=P.LANGUAGES) -> DataFram
         "end_column": lambda: F.col("end_column"),
         "language": lambda: language,
         "function_type": lambda: F.when(function, pick(lambda l: _scope(l)[1])).otherwise("class"),
-        "arguments": lambda: listed(lambda l: H.arguments(clean, l)),
-        "return_type": lambda: F.when(function, pick(lambda l: H.return_type(clean, l))),
+        "arguments": lambda: listed(lambda l: H.arguments(names, clean, l)),
+        "return_type": lambda: F.col("result_type"),
         "docstring": lambda: pick(_docstring),
         "comments": lambda: pick(lambda l: R.comments(code, l)),
         "modifiers": lambda: listed(lambda l: H.modifiers(clean, l)),
@@ -125,9 +126,17 @@ def described(located_blocks: DataFrame, columns, langs=P.LANGUAGES) -> DataFram
         "loc": lambda: X.loc(code),
         "comment_lines": lambda: X.comment_lines(code),
         "attributes": lambda: pick(lambda l: R.attributes(F.col("lead"), F.col("skeleton"), l)),
-        "types_used": lambda: listed(lambda l: R.types_used(clean, l)),
+        "types_used": lambda: listed(lambda l: R.types_used(entries, names, F.col("result_type"), l)),
     }
-    return located_blocks.select(*[projections[c]().alias(c) for c in columns])
+    # Shared parts are columns of their own, so they are computed once.
+    parsed = located_blocks
+    if {"arguments", "types_used"} & set(columns):
+        split = pick(lambda l: H.split_parameters(H.parameters(clean, l), l))
+        parsed = parsed.withColumn("entries", F.when(function, split))
+        parsed = parsed.withColumn("names", F.when(function, pick(lambda l: H.entry_names(entries, l))))
+    if {"return_type", "types_used"} & set(columns):
+        parsed = parsed.withColumn("result_type", F.when(function, pick(lambda l: H.return_type(clean, l))))
+    return parsed.select(*[projections[c]().alias(c) for c in columns])
 
 
 def extract_functions(

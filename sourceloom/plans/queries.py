@@ -12,7 +12,7 @@ from sourceloom.operators.blocks import syntax_health
 from sourceloom.operators.chunks import class_edges, extract_functions
 from sourceloom.plans import corpus as R
 from sourceloom.sources.scan import files_from_table
-from sourceloom.sources.shared import shared_folder
+from sourceloom.sources.shared import shared_folder, spread, stored
 from sourceloom.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with long texts, over all cores even if it is one row group."""
+    return spread(table(spark, sf_dir, name))
+
+
 def corpus_files(spark: SparkSession, sf_dir: str, languages=None) -> DataFrame:
     """Rendered corpus after the path filters, as text with plain newlines."""
     raw = R.raw_corpus(spark, sf_dir)
@@ -178,24 +183,24 @@ FROM {source}"""
 
 @query("line_metrics", _lines_sql("documents", "doc_id"))
 def line_metrics(spark, sf_dir):
-    return flat(table(spark, sf_dir, "documents").select(
+    return flat(texts(spark, sf_dir, "documents").select(
         "doc_id", X.loc(F.col("text")).alias("loc"), X.comment_lines(F.col("text")).alias("comment_lines")))
 
 
 @query("line_metrics_turns", _lines_sql("conversations", "conv_id, turn"))
 def line_metrics_turns(spark, sf_dir):
-    return flat(table(spark, sf_dir, "conversations").select(
+    return flat(texts(spark, sf_dir, "conversations").select(
         "conv_id", "turn", X.loc(F.col("text")).alias("loc"), X.comment_lines(F.col("text")).alias("comment_lines")))
 
 
 @query("complexity", _branches_sql("documents", "doc_id"))
 def complexity(spark, sf_dir):
-    return flat(table(spark, sf_dir, "documents").select("doc_id", X.complexity(F.col("text")).alias("complexity")))
+    return flat(texts(spark, sf_dir, "documents").select("doc_id", X.complexity(F.col("text")).alias("complexity")))
 
 
 @query("complexity_turns", _branches_sql("conversations", "conv_id, turn"))
 def complexity_turns(spark, sf_dir):
-    return flat(table(spark, sf_dir, "conversations").select(
+    return flat(texts(spark, sf_dir, "conversations").select(
         "conv_id", "turn", X.complexity(F.col("text")).alias("complexity")))
 
 
@@ -204,7 +209,7 @@ SELECT doc_id, nullif(array_to_string(list_filter(list_transform(string_split(te
   lambda l: regexp_replace(l, '^{BLANK_RE2}+|{BLANK_RE2}+$', '', 'g')), lambda x: x <> ''), ' '), '') AS doc FROM documents""")
 def doc_clean_block(spark, sf_dir):
     starred = F.concat(F.lit("/**\n * "), F.replace("text", F.lit("\n"), F.lit("\n * ")), F.lit("\n */"))
-    return table(spark, sf_dir, "documents").select("doc_id", X.clean_block_comment(starred).alias("doc"))
+    return texts(spark, sf_dir, "documents").select("doc_id", X.clean_block_comment(starred).alias("doc"))
 
 
 @query("doc_clean_line", """
@@ -305,7 +310,7 @@ SELECT callee, caller, file_path, start_line FROM edges WHERE callee IN (SELECT
 
 
 def _call_chunks(spark, sf_dir):
-    return extract_functions(corpus_files(spark, sf_dir), columns=("file_path", "name", "start_line", "calls"))
+    return stored(extract_functions(corpus_files(spark, sf_dir), columns=("file_path", "name", "start_line", "calls")), "chunks")
 
 
 @query("called_by", CALLED_SQL)
@@ -355,7 +360,7 @@ def neighbour_context(spark, sf_dir):
 @query("embed_text", """
 SELECT doc_id, md5(concat_ws(chr(10), nullif(source, 'src0'), text)) AS digest FROM documents""")
 def embed_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     return docs.select("doc_id", F.md5(enrich.embedding_text(F.nullif("source", F.lit("src0")), F.col("text"))).alias("digest"))
 
 
@@ -366,7 +371,7 @@ TOKENS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 SELECT doc_id, cast(len(kept) as bigint) AS n_tokens, md5(array_to_string(kept, ' ')) AS digest
 FROM (SELECT doc_id, {TOKENS_SQL}[1:256] AS kept FROM documents)""")
 def truncate_tokens(spark, sf_dir):
-    kept = table(spark, sf_dir, "documents").select("doc_id", V.tokens(F.col("text"), 256).alias("kept"))
+    kept = texts(spark, sf_dir, "documents").select("doc_id", V.tokens(F.col("text"), 256).alias("kept"))
     return kept.select("doc_id", F.size("kept").cast("bigint").alias("n_tokens"),
                        F.md5(F.array_join("kept", " ")).alias("digest"))
 
@@ -377,7 +382,7 @@ counts AS (SELECT doc_id, cast(('0x' || substr(md5(w), 1, 8)) as bigint) % 64 AS
 norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY doc_id)
 SELECT doc_id, bucket, round(cast(cast(n / norm as float) as double), 5) AS value FROM counts JOIN norms USING (doc_id)""")
 def hash_embed(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents").select("doc_id", "text")
     embedded = E.hash_embed(docs, "text", dimension=64)
     spread = embedded.select("doc_id", F.posexplode("embedding").alias("bucket", "value"))
     return spread.where("value > 0").select(
@@ -446,7 +451,7 @@ SELECT file_path, name, start_line, 999 + row_number() OVER (
 
 @query("point_ids", IDS_SQL)
 def point_ids(spark, sf_dir):
-    chunks = extract_functions(corpus_files(spark, sf_dir), columns=ID_COLUMNS)
+    chunks = stored(extract_functions(corpus_files(spark, sf_dir), columns=ID_COLUMNS), "chunks")
     return flat(C.point_ids(chunks, 1000).select("file_path", "name", "start_line", "id"))
 
 
@@ -549,7 +554,7 @@ def metric_stats(spark, sf_dir):
 
 
 def _changes(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir, "documents").select(
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"), "text", "lang", "source")
     current = D.manifest(docs, content="text")
     rewritten = F.when(F.col("lang") == "en", F.upper("text")).otherwise(F.col("text"))

@@ -5,10 +5,29 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """Fresh folder name under ``spark.checkpoint.dir``; a local one only if that is unset, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes ``df`` once and reads it back: for results that several branches of a job use.
+
+    Unlike a cache it survives the loss of executors, and it cuts the lineage.
+    """
+    place = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(place)
+    return df.sparkSession.read.parquet(place)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Redistributes a scan that has fewer tasks than cores (one large row group), else nothing.
+
+    Only for plain scans of few files; a scan of many files already has its tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
