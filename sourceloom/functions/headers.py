@@ -44,7 +44,7 @@ _CPP_TAIL = rf"(?: ?(?:const\b|volatile\b|noexcept\b(?: ?{PARENS})?|override\b|f
 # Groups of every pattern: 1 what stands before the name, 2 the name, 3 the parameters.
 FUNCTION = {
     "python": rf"\A((?:async )?)def ({NAME}) ?(?:{_SQUARE} ?)?({PARENS})",
-    "rust": rf"\A((?:pub(?: ?\([^()]*+\))? )?(?:(?:default|const|async|unsafe|safe|extern(?: ?\"\")?) )*+)fn ((?:r#)?{NAME}) ?(?:{ANGLES} ?)?({PARENS})",
+    "rust": rf"\A((?:pub(?: ?\([^()]*+\))? )?(?:(?:default|const|async|unsafe|safe|extern(?: ?\"\")?) )*+)fn ((?:r#)?(?!\$){NAME}) ?(?:{ANGLES} ?)?({PARENS})",
     "go": rf"\Afunc ?((?:{PARENS} ?)?)({NAME}) ?(?:{_SQUARE} ?)?({PARENS})",
     "java": rf"\A({_JAVA_TYPE}){_BOUNDARY}({NAME}) ?({PARENS})(?: ?\[ ?\])*+(?: throws [^=()]++)?\z",
     "c": rf"\A((?!.*\btypedef\b)[^=()]*?[\s*]){_BOUNDARY}({NAME}) ?({PARENS})\z",
@@ -240,7 +240,7 @@ def modifiers(clean: Column, lang: str) -> Column:
     allowed = {"rust": RUST_MODIFIERS, "java": JAVA_MODIFIERS, "c": C_MODIFIERS, "cpp": CPP_MODIFIERS}.get(lang)
     if allowed is None:
         return F.array().cast("array<string>")
-    prefix = F.regexp_extract(clean, FUNCTION[lang], 1)
+    prefix = F.regexp_extract(clean, FUNCTION[lang] if lang in ("rust", "java") else r"\A([^(]*)", 1)
     if lang == "rust":
         # A quoted ABI belongs to its word, so only a bare one is a modifier.
         prefix = F.regexp_replace(prefix, r'extern ?""', " ")

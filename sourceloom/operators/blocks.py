@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sourceloom.functions import headers as H
 from sourceloom.functions import patterns as P
+from sourceloom.functions import text as X
 
 
 def by_path(files: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def pieces(placed: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     marked = marked.withColumn("term", term).withColumn(
         "pairs", F.when(python, F.translate(F.col("residue"), "\"'#", "")).otherwise(pairs)
     )
-    # Two rounds take out balanced groups; what stays is open towards other pieces.
+    # Shallow balanced groups go; what stays is mostly open towards other pieces.
     unmatched = F.regexp_replace(F.regexp_replace("pairs", P.balanced("()[]{}", 3), ""), P.balanced("()[]{}", 3), "")
     return marked.select(
         "path", "language", "n", "piece", "term",
@@ -71,13 +72,20 @@ def located(cut: DataFrame) -> DataFrame:
     """Adds line, column, nesting and open-bracket counts to every piece."""
     rest = F.col("rest")
     opened = _chars(rest, "(") + _chars(rest, "[") + _chars(rest, "{")
-    closed = _chars(rest, ")") + _chars(rest, "]") + _chars(rest, "}")
+    closing = _chars(rest, ")") + _chars(rest, "]") + _chars(rest, "}")
+    # How far the piece closes brackets opened before it: the lowest prefix sum.
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("low"))
+    step = lambda state, char: X.bound(
+        state["now"] + F.when(char.isin(")", "]", "}"), -1).otherwise(1),
+        lambda now: F.struct(now.alias("now"), F.least(state["low"], now).alias("low")))
+    walked = F.aggregate(F.regexp_extract_all(rest, F.lit("."), F.lit(0)), start, step, lambda state: -state["low"])
+    closed = F.when(rest == "", 0).otherwise(walked)
     weigh = lambda o, c: _chars(rest, o) - _chars(rest, c)
     order = Window.partitionBy("path").orderBy("n")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     summed = (
-        cut.withColumn("closed", closed).withColumn("net", opened - closed)
+        cut.withColumn("closed", closed).withColumn("net", opened - closing)
         .withColumn("round", weigh("(", ")")).withColumn("square", weigh("[", "]"))
         .withColumn("tail", F.when(F.col("nl") > 0, _after_newline(F.col("piece"))))
         .select(
@@ -303,7 +311,7 @@ def scoped(blocks: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     typed = found.withColumn("name", F.when(F.col("kind") == "f", name).otherwise(title))
     at_top = (F.col("depth") == 0) | F.coalesce(F.col("holder.level") == F.col("depth"), F.lit(False))
     declared = F.regexp_replace(F.regexp_extract("clean", H.FUNCTION["java"], 1), P.ANGLES, "")
-    typeless = ~declared.rlike(r"(?:\A|\s)(?!(?:public|private|protected)\b)\S")
+    typeless = ~declared.rlike(r"(?:\A|\s)(?!(?:public|private|protected)\b)[\p{L}_$]")
     constructor = typeless & (F.col("holder.title") == F.col("name"))
     valid = (
         F.when(F.col("kind") != "f", True)

@@ -2,25 +2,86 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sourceloom.functions.paths import SUFFIX_GLOB, is_ignored, language_of
 from sourceloom.functions.text import normalize_newlines
 from sourceloom.operators.predicates import decoded, is_binary, is_text
 
 
+def _filesystem(spark: SparkSession, place: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def ignore_patterns(spark: SparkSession, root: str, ignore_file: str | None) -> list[str]:
-    """Lines of ``<root>/<ignore_file>``; none if there is no name or no such file."""
+    """Lines of ``<root>/<ignore_file>``; none if there is no name or no such file.
+
+    One small configuration file, usually a dot file, which Spark's own readers skip.
+    """
     if ignore_file is None:
         return []
-    place = spark._jvm.org.apache.hadoop.fs.Path(root, ignore_file)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+    fs, path = _filesystem(spark, f"{root.rstrip('/')}/{ignore_file}")
+    if not fs.exists(path):
         return []
-    # One small configuration file, read whole so its lines keep their order.
-    rows = spark.read.text(place.toString(), wholetext=True).collect()
-    return rows[0].value.splitlines() if rows else []
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+    finally:
+        stream.close()
+
+
+def _relative(location: Column, base: str) -> Column:
+    """Path below the root from a URI: drops scheme and authority, then decodes."""
+    plain = F.regexp_replace(location, r"\A[A-Za-z][\w+.-]*:(?://[^/]*)?", "")
+    decoded_path = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
+    return F.substring(decoded_path, F.lit(len(base) + 2), F.length(decoded_path))
+
+
+def _unlisted(spark: SparkSession, root: str, base: str) -> DataFrame:
+    """``(uri, path)`` of files Spark's listing skips: a segment starts with ``_`` or ``.``.
+
+    ``__init__.py`` is one of them.  The first-level entries are listed here; the
+    trees below them are walked inside tasks, one entry each.
+    """
+    fs, path = _filesystem(spark, root)
+    if not fs.exists(path):
+        return spark.createDataFrame([], "uri string, path string")
+    entries = [(s.getPath().toString(), bool(s.isDirectory())) for s in fs.listStatus(path)]
+    if not entries:
+        return spark.createDataFrame([], "uri string, path string")
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as arrow_fs
+
+        for frame in frames:
+            for uri, is_dir in zip(frame.uri, frame.is_dir):
+                store, place = arrow_fs.FileSystem.from_uri(uri)
+                selector = arrow_fs.FileSelector(place, recursive=True) if is_dir else [place]
+                prefix = uri[:len(uri) - len(place)]
+                found = [i.path for i in store.get_file_info(selector) if i.type == arrow_fs.FileType.File]
+                below = [p[p.index(base) + len(base) + 1:] for p in found]
+                kept = [(prefix + p, r) for p, r in zip(found, below) if any(s[:1] in "._" for s in r.split("/"))]
+                yield pd.DataFrame(kept, columns=["uri", "path"])
+
+    listed = spark.createDataFrame(entries, "uri string, is_dir boolean").repartition(min(len(entries), 256))
+    return listed.mapInPandas(walk, "uri string, path string")
+
+
+def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs as arrow_fs
+
+    for frame in frames:
+        for row in frame.itertuples(index=False):
+            store, place = arrow_fs.FileSystem.from_uri(row.uri)
+            info = store.get_file_info(place)
+            with store.open_input_stream(place) as stream:
+                content = stream.read()
+            yield pd.DataFrame([{"path": row.path, "language": row.language, "content": content,
+                                 "length": len(content), "modificationTime": pd.Timestamp(info.mtime)}])
 
 
 def list_corpus(
@@ -32,21 +93,24 @@ def list_corpus(
     read only file metadata, so no excluded file is opened.
     """
     patterns = ignore_patterns(spark, root, ignore_file)
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toUri().getPath().rstrip("/")
+    fs, path = _filesystem(spark, root)
+    base = fs.makeQualified(path).toUri().getPath().rstrip("/")
     raw = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", SUFFIX_GLOB).load(root)
     )
-    location = F.col("_metadata.file_path")
-    # ``file_path`` is a URI: drop scheme and authority, then decode.
-    plain = F.url_decode(F.replace(F.regexp_replace(location, r"\A[A-Za-z][\w+.-]*:(?://[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
-    relative = F.substring(plain, F.lit(len(base) + 2), F.length(plain))
-    language = language_of(relative)
-    kept = raw.where(language.isNotNull() & ~is_ignored(relative, patterns))
-    if languages is not None:
-        kept = kept.where(language.isin(*languages))
-    return kept.select(relative.alias("path"), language.alias("language"), "content", "length", "modificationTime")
+
+    def wanted(relative: Column) -> Column:
+        language = language_of(relative)
+        chosen = language.isNotNull() if languages is None else language.isin(*languages)
+        return chosen & ~is_ignored(relative, patterns)
+
+    relative = _relative(F.col("_metadata.file_path"), base)
+    seen = raw.where(wanted(relative)).select(
+        relative.alias("path"), language_of(relative).alias("language"), "content", "length", "modificationTime")
+    unseen = _unlisted(spark, root, base).where(wanted(F.col("path"))).withColumn("language", language_of(F.col("path")))
+    spread = unseen.repartition(spark.sparkContext.defaultParallelism, "path")
+    return seen.unionByName(spread.mapInPandas(_read, seen.schema))
 
 
 def scan_corpus(

@@ -11,9 +11,13 @@ from sourceloom.operators.predicates import decoded, is_binary, is_text
 
 
 def file_stream(spark: SparkSession, root: str, patterns=(), max_files: int | None = None) -> DataFrame:
-    """Stream of ``files(path, language, text)``; each file is seen once."""
+    """Stream of ``files(path, language, text)``; each file is seen once.
+
+    Spark's stream listing leaves out names that start with ``_`` or ``.``.
+    """
     reader = (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", SUFFIX_GLOB)
     )
     if max_files is not None:
