@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from sourceloom.functions.text import bound
+
 # Model context and dimension.
 MAX_TOKENS = 8192
 DIMENSION = 768
@@ -26,7 +28,7 @@ def hashed_vector(words: Column, dimension: int = DIMENSION) -> Column:
     One pass over the sorted buckets; zeros are filled in between them, so the
     work is one step per token and one append per distinct bucket.
     """
-    buckets = F.array_sort(F.transform(words, lambda w: bucket(w, dimension).cast("int")))
+    buckets = F.sort_array(F.transform(words, lambda w: bucket(w, dimension).cast("int")))
     zeros = lambda n: F.array_repeat(F.lit(0).cast("float"), n)
     start = F.struct(
         F.array().cast("array<float>").alias("done"), F.lit(0).alias("at"), F.lit(0).cast("float").alias("count")
@@ -50,10 +52,9 @@ def norm(vector: Column) -> Column:
 
 def l2_normalize(vector: Column) -> Column:
     """Unit length in double precision; a zero vector stays as it is."""
-    scaled = lambda length: F.transform(
-        vector, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x.cast("double"))
-    )
-    return F.element_at(F.transform(F.array(norm(vector)), scaled), 1)
+    divide = lambda v, length: F.transform(
+        v, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(x.cast("double")))
+    return bound(vector, lambda v: bound(norm(v), lambda length: divide(v, length)))
 
 
 def dot(left: Column, right: Column) -> Column:

@@ -15,7 +15,7 @@ from sourceloom.functions import patterns as P
 from sourceloom.functions import text as X
 
 
-def by_path(files: DataFrame) -> DataFrame:
+def by_path(files: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     """The one exchange of the extraction; both its branches reuse it.
 
     The count is explicit because the stages behind it cost CPU per byte:
@@ -23,7 +23,9 @@ def by_path(files: DataFrame) -> DataFrame:
     squeeze the work into a few tasks.
     """
     partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.select("path", "language", "text").repartition(partitions, "path")
+    # Both branches must ask for the same rows, or Spark could not reuse the exchange.
+    kept = files.where(F.col("language").isin(*langs) & F.col("path").isNotNull() & F.col("text").isNotNull())
+    return kept.select("path", "language", "text").repartition(partitions, "path")
 
 
 def _chars(text: Column, char: str) -> Column:
@@ -40,7 +42,7 @@ def pieces(placed: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     cut = H.by_language(
         language, lambda lang: F.regexp_extract_all("text", F.lit(P.piece_lexer(lang)), F.lit(0)), langs
     )
-    exploded = placed.where(language.isin(*langs)).select(
+    exploded = placed.select(
         "path", "language", F.posexplode(F.array_append(cut, F.lit(""))).alias("n", "piece")
     )
     residue = H.by_language(

@@ -22,7 +22,7 @@ def _languages(languages) -> tuple[str, ...]:
 def block_table(files: DataFrame, keep_broken: bool = False, languages=None) -> DataFrame:
     """Located functions and class-like holders, without their text."""
     langs = _languages(languages)
-    return scoped(paired(located(pieces(by_path(files), langs)), keep_broken, langs), langs)
+    return scoped(paired(located(pieces(by_path(files, langs), langs)), keep_broken, langs), langs)
 
 
 def _cut(lines: Column, span: Column) -> Column:
@@ -47,7 +47,7 @@ def attach_text(blocks: DataFrame, files: DataFrame, with_imports: bool = True,
     """
     columns = [c for c in blocks.columns if c not in ("path", "language")]
     spans = blocks.groupBy("path").agg(F.collect_list(F.struct(*columns)).alias("spans"))
-    placed = by_path(files)
+    placed = by_path(files, langs)
     joined = placed.join(spans.hint("shuffle_hash"), "path")
 
     def enrich(lines: Column) -> Column:
@@ -57,7 +57,9 @@ def attach_text(blocks: DataFrame, files: DataFrame, with_imports: bool = True,
             _byte_column(lines, s["end"]).alias("end_column"),
         ))
 
-    texts = F.element_at(F.transform(F.array(F.split("text", "\n")), enrich), 1)
+    # The test keeps ``language`` in this branch whatever columns are wanted: pruned
+    # of it, the branch could not share the exchange of the other one.
+    texts = F.when(F.col("language").isNotNull(), X.bound(F.split("text", "\n"), enrich))
     empty = F.array().cast("array<string>")
     imports = H.by_language(F.col("language"), lambda l: R.imports(F.col("text"), l), langs) if with_imports else empty
     return joined.select(
