@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sourceloom.plans.queries import ORACLES, QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -24,10 +25,10 @@ def rows_of(frame):
     return list(frame.columns), sorted(tuple(repr(plain(x)) for x in row) for row in frame.itertuples(index=False, name=None))
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, data, duck, name):
-    got = rows_of(entry.queries()[name](spark, data).toPandas())
-    want = rows_of(duck.sql(entry.oracle_sql()[name]).df())
+    got = rows_of(QUERIES[name](spark, data).toPandas())
+    want = rows_of(duck.sql(ORACLES[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) > 0
     assert got[1] == want[1]
@@ -38,4 +39,5 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
