@@ -44,7 +44,11 @@ def bins_for(size: int, query: int, threshold: float, miss: float) -> int:
 
 
 def _signed(rows: DataFrame, k: int) -> DataFrame:
-    """``hashes``: sorted 63-bit shingle hashes of ``_words``."""
+    """``hashes``: sorted 63-bit shingle hashes of ``_words``.
+
+    What is built on the arrays must not imply a not-null filter (hence ``explode_outer`` and ``coalesce``): Spark would
+    push it below the projections and compute the words anew for each shingle.
+    """
     positive = lambda parts: F.xxhash64(*parts).bitwiseAND(F.lit((1 << 63) - 1))
     return rows.withColumn("_raw", _windows("_words", k, positive)).withColumn("hashes", F.sort_array("_raw")).drop("_raw")
 
@@ -77,18 +81,18 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
     mask = mask.withColumn("sig", _minima("hashes", F.col("x.b"))).select("_item", "x.c", F.explode("sig").alias("h"))
     mask = store(mask.groupBy("_item", "h").agg(F.sum(F.expr("shiftleft(bigint(1), c)")).alias("classes")), "item-minima")
 
-    signed = _signed(source.withColumn("_words", words(F.col("_text"))).drop("_text"), k).drop("_words").where("hashes IS NOT NULL")
+    signed = _signed(source.withColumn("_words", words(F.col("_text"))).drop("_text"), k).drop("_words")
     size_class = F.ceil(F.log2(F.size("hashes").cast("double"))).cast("int")
     classed = signed.withColumn("_c", size_class).withColumn("_b", F.element_at(F.array(*(F.lit(b).cast("bigint") for b in bins)), F.col("_c") + 1))
-    minima = classed.select("_doc", "_c", F.explode(_minima("hashes", F.col("_b"))).alias("h"))
-    met = minima.join(small(mask), "h").where(F.expr("shiftright(classes, _c) & 1 = 1"))
+    minima = classed.select("_doc", "_c", F.explode_outer(_minima("hashes", F.col("_b"))).alias("h"))
+    met = minima.join(small(mask), "h").where(F.expr("coalesce(shiftright(classes, _c) & 1, 0) = 1"))
     candidates = store(met.select("_doc", "_item").distinct(), "leak-candidates")
 
     text_of = lambda parts: F.concat_ws(" ", *parts)
-    exact = tests.withColumn("s", F.explode(F.array_distinct(_windows("_words", k, text_of)))).select("_item", "s").distinct()
+    exact = tests.withColumn("s", F.explode_outer(F.array_distinct(_windows("_words", k, text_of)))).select("_item", "s").distinct()
     sizes = exact.groupBy("_item").agg(F.count("*").alias("n_item"))
     near = only(source, candidates, "_doc").withColumn("_words", words(F.col("_text")))
-    held = near.select("_doc", F.explode(F.array_distinct(_windows("_words", k, text_of))).alias("s"))
+    held = near.select("_doc", F.explode_outer(F.array_distinct(_windows("_words", k, text_of))).alias("s"))
     shared = held.join(small(exact), "s").select("_doc", "_item", "s").distinct().groupBy("_doc", "_item").agg(F.count("*").alias("n_shared"))
     verified = shared.join(candidates, ["_doc", "_item"], "left_semi").join(sizes, "_item")
     return verified.where(F.col("n_shared") >= F.lit(threshold) * F.col("n_item")).select(

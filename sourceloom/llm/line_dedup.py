@@ -89,7 +89,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     base = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)))
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     own = F.array_distinct(F.filter(F.transform(lines, lambda l: _hashes(l, min_chars)), lambda p: p.isNotNull()))
-    rows = base.select(F.col("_id").alias("doc"), F.explode(own).alias("p")).select("doc", "p.k1", "p.k2")
+    rows = base.select(F.col("_id").alias("doc"), F.explode_outer(own).alias("p")).where("p IS NOT NULL").select("doc", "p.k1", "p.k2")
     cuts = docs.select(F.col(id_col).cast("double").alias("d")).approxQuantile("d", [i / batches for i in range(1, batches)], 0.01) or []
     cuts = sorted(set(cuts))
     number = F.lit(len(cuts))

@@ -38,7 +38,7 @@ def _words_sql(text: str) -> str:
 def _shingles_sql(table_name: str, key: str, k: int = 5) -> str:
     run = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
     return f"""(
-  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {k} THEN list_transform(range(1, len(w) - {k - 2}), i -> {run})
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {k} THEN list_transform(range(1, len(w) - {k - 2}), lambda i: {run})
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
   FROM (SELECT {key}, {_words_sql('text')} AS w FROM {table_name}))"""
 
