@@ -117,3 +117,26 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
         few[there] += h[at[short[there]] + i] * scale[i]
     few = mixed(few ^ (words.count[short].astype(np.uint64) * _ODD))
     return np.concatenate([long_hash, few]), np.concatenate([long_row, short])
+
+
+_inverses = np.ones(1, dtype=np.uint64)
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    """Inverses of ``powers(n)`` modulo 2**64."""
+    global _inverses
+    if len(_inverses) < n:
+        factors = np.full(max(n, 2 * len(_inverses)), _U(pow(0xD1342543DE82EF95, -1, 1 << 64)), dtype=np.uint64)
+        factors[0] = 1
+        _inverses = np.cumprod(factors, dtype=np.uint64)
+    return _inverses[:n]
+
+
+def sliding_minimum(x: np.ndarray, w: int) -> np.ndarray:
+    """Minimum of each run of ``w`` values."""
+    size = 1
+    while 2 * size <= w:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    rest = w - size
+    return np.minimum(x[:-rest], x[rest:]) if rest else x

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sourceloom.llm.decontaminate import contained_items
+from sourceloom.llm.fingerprints import fingerprint_edits, hashes_of, likeness
 from sourceloom.llm.line_dedup import dedup_lines
+from sourceloom.llm.ngram_join import ngram_components
+from sourceloom.llm.repeats import remove_repeats
 from sourceloom.llm.source_mix import mix_sources
 from sourceloom.llm.token_counts import token_counts
 
@@ -92,3 +95,27 @@ def op10_line_dedup(spark, sf_dir):
     """Every document without the long lines that five documents share."""
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes of repeated 200-byte strings."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark, sf_dir):
+    """Winnowed fingerprints of every document and its edited text, and how near they are."""
+    made = fingerprint_edits(table(spark, sf_dir, "documents"))
+    made = made.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+                       *(hashes_of(F.col(c)).alias(c) for c in ("own", "edit", "following")))
+    text = lambda c: F.array_join(F.transform(F.col(c), lambda h: F.lower(F.hex(h))), " ")
+    return made.select("doc_id", "n_chars", "edited_sha256", text("own").alias("fingerprint"), text("edit").alias("edited_fingerprint"),
+                       likeness(F.col("own"), F.col("edit")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
+
+
+@query("op9_ngram_join")
+def op9_ngram_join(spark, sf_dir):
+    """Components of documents whose 4-word shingle sets are alike by 85 percent."""
+    return ngram_components(table(spark, sf_dir, "documents"))
