@@ -2,9 +2,59 @@
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sourceloom.llm.common import store, without
+from sourceloom.llm.decontaminate import contained_items
+from sourceloom.llm.language_id import identify
+from sourceloom.llm.line_dedup import dedup_lines
+from sourceloom.llm.ngram_join import ngram_components
+from sourceloom.llm.source_mix import mix_sources
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Below this mean share of its words a text's language counts as unknown.
+LEAST_SCORE = 0.5
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a certain language; those without letters or with no language for half of their words go."""
+    known = identify(docs.select(*COLUMNS))
+    return known.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated lines; those of which nothing is left go."""
+    kept = dedup_lines(docs.select(*COLUMNS))
+    text = F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("text"))
+    left = kept.where("n_dropped = 0 OR trim(kept) <> ''").withColumn("text", text)
+    return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each component, at five words and a likeness of 0.8."""
+    found = ngram_components(docs.select(*COLUMNS), k=5, percent=80)
+    return without(docs.select(*COLUMNS), store(found.where("doc_id <> component_id").select("doc_id"), "near-copies"), "doc_id")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = contained_items(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs.select(*COLUMNS), store(leaks.select("doc_id"), "leaks"), "doc_id")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated towards square-root source weights and shuffled."""
+    return mix_sources(docs.select(*COLUMNS))
+
+
+STAGES = [("language_id", keep_languages), ("line_dedup", drop_lines), ("ngram_join", drop_near_copies),
+          ("decontamination", drop_leaks), ("source_mix", mix)]
+ORACLE_SQL = None  # language ID is a trained model
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``; each result is stored before the next stage reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,7 +19,7 @@ SLOTS, BLOCKS = 1 << 22, 64
 #: Fragments of the global order.
 FRAGMENTS = 4
 #: Posting lists up to this length are compared pair by pair, longer ones with hubs until nothing is left to compare.
-PLAIN_LIST = 32
+PLAIN_LIST = 8
 #: Hubs that a long list gets in each round.
 HUBS = 8
 
@@ -183,8 +183,8 @@ class NgramJoin:
         parts = texts.mapInArrow(partial(_segments, k=self.k, classes=self.classes, pivots=self.pivots), "id bigint, fragment int, grams array<bigint>")
         parts = store(parts.dropDuplicates(["id", "fragment"]), "ngram-segments")
         sizes = parts.groupBy("id").agg(F.sum(F.size("grams")).alias("n"))
-        left = pairs.join(parts.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("ga")), "a")
-        both = left.join(parts.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("gb")), ["b", "fragment"])
+        left = pairs.join(parts.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("ga")).hint("merge"), "a")
+        both = left.join(parts.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("gb")).hint("merge"), ["b", "fragment"])
         counted = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("o")).groupBy("a", "b").agg(F.sum("o").alias("o"))
         sized = counted.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
         return sized.where(f"100 * o >= {self.percent} * (na + nb - o)").select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -194,13 +194,15 @@ class NgramJoin:
         rows = self._texts().mapInArrow(partial(_prefixes, k=self.k, percent=self.percent, classes=self.classes), "key bigint, id bigint, n bigint, pos bigint")
         postings = store(rows, "ngram-prefixes")
         shared = postings.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-        lists = store(postings.join(shared, "key"), "ngram-lists")
+        lists = store(postings.join(shared.hint("merge"), "key"), "ngram-lists")
         short, long = lists.where(f"m <= {PLAIN_LIST}"), lists.where(f"m > {PLAIN_LIST}")
         plain = self._pairs(short.alias("x").join(short.alias("y"), F.expr(f"x.key = y.key AND x.id < y.id AND {self._near('x', 'y')}")), "x", "y")
-        hubs = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("x")).select("x.id").distinct()
-        tested = store(plain.unionByName(self._against(long, store(hubs, "hubs"))).distinct(), "ngram-pairs")
+        # The first round takes a list's own hub only: near copies share most lists, and so their hubs.
+        own = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "pos")).alias("x")).select("key", "x.id", "x.n", "x.pos")
+        first = self._pairs(long.alias("x").join(own.alias("y"), F.expr(f"x.key = y.key AND x.id <> y.id AND {self._near('x', 'y')}")), "x", "y")
+        tested = store(plain.unionByName(first).distinct(), "ngram-pairs")
         links = store(self._linked(tested), "ngram-links")
-        done = hubs = store(hubs, "hubs")
+        done = long.select("id").limit(0)
         found = components(links)
         while True:
             placed = long.join(found, "id", "left").withColumn("label", F.coalesce("label", "id"))

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sourceloom.llm.decontaminate import contained_items
 from sourceloom.llm.fingerprints import fingerprint_edits, hashes_of, likeness
+from sourceloom.llm.language_id import identify
+from sourceloom.llm.language_model import hmm_scores
+from sourceloom.llm.licenses import license_scan
 from sourceloom.llm.line_dedup import dedup_lines
 from sourceloom.llm.ngram_join import ngram_components
 from sourceloom.llm.repeats import remove_repeats
@@ -119,3 +122,22 @@ def op8_fingerprints(spark, sf_dir):
 def op9_ngram_join(spark, sf_dir):
     """Components of documents whose 4-word shingle sets are alike by 85 percent."""
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    """Predicted language of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    """License notices in every whole text, by alignment coverage."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_hmm_scores")
+def op4_hmm_scores(spark, sf_dir):
+    """Log probability of every whole text under a hidden Markov model of the training texts."""
+    return hmm_scores(table(spark, sf_dir, "documents"))

@@ -9,15 +9,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sourceloom.llm.common import only, ship, small, store, without
+from sourceloom.llm.common import only, ship, store, without
 from sourceloom.llm.kernels import inverse_powers, mixed, powers, raw, sliding_minimum
 
 #: Bytes of an anchor: a window's least hashed run of so many bytes, the leftmost of equals.
 ANCHOR = 80
 #: Window starts handled at once within a long text; what lies across the border is read by both sides.
 PIECE = 1 << 22
-#: Bytes of a digit of the radix sort.
-DIGIT = 50
+#: Bytes of a digit of the radix sort: as one sort key of a task, and as a grouping key of all tasks.
+DIGIT, WIDE_DIGIT = 8, 50
+#: Anchors with more distinct surroundings than this are sorted by all tasks together.
+ONE_TASK = 4096
+#: Suffixes that a task sorts at once, beyond the anchor that fills it up.
+SORTED = 100_000
 
 _U = np.uint64
 _PLACE = _U((1 << 31) - 1)
@@ -61,6 +65,54 @@ def _anchored(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                                              + [pa.array(c.astype(np.int64)) for c in columns[2:]], names=names)
 
 
+def _passes(bodies: list[bytes], anchors: np.ndarray, copies: np.ndarray, windows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Body and place of each suffix whose first ``window`` bytes occur twice: most-significant-digit passes over groups."""
+    sizes = np.array([len(b) for b in bodies], np.int64)
+    text = np.frombuffer(b"".join(bodies) + bytes(DIGIT), np.uint8)
+    word = np.zeros(len(text) - DIGIT, np.uint64)
+    for j in range(DIGIT):
+        word = (word << _U(8)) | text[j:j + len(word)]
+    body = np.repeat(np.arange(len(bodies)), windows)
+    place = np.arange(len(body)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at, group = (np.cumsum(sizes) - sizes)[body] + place, np.unique(anchors, return_inverse=True)[1][body]
+    for depth in range(0, window, DIGIT):
+        digit = word[at + depth]
+        if window - depth < DIGIT:
+            digit = digit >> _U(8 * (DIGIT - window + depth))
+        order = np.lexsort((digit, group))
+        group, digit, body, place, at = group[order], digit[order], body[order], place[order], at[order]
+        if not len(group):
+            break
+        new = np.append(True, (group[1:] != group[:-1]) | (digit[1:] != digit[:-1]))
+        head = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        many = (np.add.reduceat(copies[body], head) > 1)[group]
+        group, body, place, at = group[many], body[many], place[many], at[many]
+    return body, place
+
+
+def _radix(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Sorts the suffixes of whole anchors; the rows come sorted by anchor."""
+    rows: list[tuple] = []
+    held = 0
+
+    def out() -> pa.RecordBatch:
+        anchor, span, copies, windows, bodies = zip(*rows)
+        anchor, span = np.array(anchor, np.int64), np.array(span, np.int64)
+        body, place = _passes(list(bodies), anchor, np.array(copies, np.int64), np.array(windows, np.int64), window)
+        return pa.RecordBatch.from_arrays([pa.array(anchor[body]), pa.array(span[body]), pa.array(place.astype(np.int64))], names=["anchor", "span", "i"])
+
+    for batch in batches:
+        for row in zip(*(batch.column(n).to_pylist() for n in ("anchor", "span", "copies", "windows", "body"))):
+            if held > SORTED and row[0] != rows[-1][0]:
+                yield out()
+                rows, held = [], 0
+            rows.append(row)
+            held += row[3]
+    if rows:
+        yield out()
+
+
 def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Takes the byte ranges of ``_cuts`` out of each text."""
     for batch in batches:
@@ -81,6 +133,20 @@ def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
              pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def _shared_radix(held: DataFrame, window: int) -> DataFrame:
+    """The same passes by all tasks together, with a group per digits so far."""
+    suffixes = held.select("anchor", "span", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("windows") - 1)).alias("i"), "body")
+    group, key = F.col("anchor"), []
+    for depth in range(0, window, WIDE_DIGIT):
+        group = F.xxhash64(group, F.expr(f"substring(body, int(i + 1 + {depth}), {min(WIDE_DIGIT, window - depth)})"))
+        key.append(group)
+    rows = suffixes.select("anchor", "span", "copies", "i", *(g.alias(f"g{p}") for p, g in enumerate(key)))
+    for p in range(len(key)):  # a suffix is carried as its number, not its bytes
+        many = rows.groupBy(f"g{p}").agg(F.sum("copies").alias("size")).where("size > 1").select(f"g{p}")
+        rows = store(rows.join(many, f"g{p}", "left_semi").drop(f"g{p}"), f"digit-{p}")
+    return rows.select("anchor", "span", "i")
+
+
 def repeated_windows(texts: DataFrame, window: int = 200) -> DataFrame:
     """``doc, start, end``: byte ranges whose every window of ``window`` bytes starts at least twice in ``texts(_doc, _text)``.
 
@@ -88,13 +154,13 @@ def repeated_windows(texts: DataFrame, window: int = 200) -> DataFrame:
     anchor seen once drops all its windows before any sort.  Windows of an anchor whose surroundings are all
     the same are equal groups already.  Of the others each distinct surrounding is
     taken once, with its number of copies, and its window suffixes are sorted by
-    most-significant-digit passes of ``DIGIT`` bytes: groups that hold one suffix leave after each
+    most-significant-digit passes: groups that hold one suffix leave after each
     pass, and those left after ``window`` bytes are exactly the repeated windows.
     """
     spans = store(texts.mapInArrow(partial(_anchored, window=window), "anchor bigint, span bigint, doc bigint, start bigint, windows bigint"), "anchors")
     anchors = spans.groupBy("anchor").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"))
     again = store(anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("differ")), "anchors-again")
-    spans = store(spans.join(small(again), "anchor"), "spans-again")
+    spans = store(spans.join(again.hint("merge"), "anchor"), "spans-again")
     last = F.col("start") + F.col("windows") - 1 + window
     same = spans.where("NOT differ").select("doc", "start", last.alias("end"))
 
@@ -104,19 +170,11 @@ def repeated_windows(texts: DataFrame, window: int = 200) -> DataFrame:
     body = F.expr(f"substring(cast(_text AS binary), int(start + 1), int(windows - 1 + {window}))")
     held = only(texts.withColumnRenamed("_doc", "doc"), classes, "doc").join(classes, "doc")
     held = store(held.select("anchor", "span", "copies", "windows", body.alias("body")), "span-bodies")
-    suffixes = held.select("anchor", "span", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("windows") - 1)).alias("i"), "body")
-    group, key = F.col("anchor"), []
-    for depth in range(0, window, DIGIT):
-        digit = F.expr(f"substring(body, int(i + 1 + {depth}), {min(DIGIT, window - depth)})")
-        group = F.xxhash64(group, digit)
-        key.append(group)
-    # Every pass reads the digits of what the pass before left; a suffix is carried as its number, not its bytes.
-    rows = suffixes.select("anchor", "span", "copies", "i", *(g.alias(f"g{p}") for p, g in enumerate(key)))
-    for p in range(len(key)):
-        many = rows.groupBy(f"g{p}").agg(F.sum("copies").alias("size")).where("size > 1").select(f"g{p}")
-        rows = rows.join(small(store(many, "digit-groups")), f"g{p}", "left_semi").drop(f"g{p}")
-        if p == 0:
-            rows = store(rows, "digit-0")
+    crowds = store(held.groupBy("anchor").agg(F.count("*").alias("n")).where(f"n > {ONE_TASK}").select("anchor"), "crowded-anchors")
+    ordered = without(held, crowds, "anchor").repartition("anchor").sortWithinPartitions("anchor")
+    rows = ordered.mapInArrow(partial(_radix, window=window), "anchor bigint, span bigint, i bigint")
+    if crowds.limit(1).count():
+        rows = rows.unionByName(_shared_radix(only(held, crowds, "anchor"), window))
     hits = rows.groupBy("anchor", "span").agg(F.collect_set("i").alias("hits"))  # at most as many as a span has windows
     partly = mixed_.join(hits, ["anchor", "span"]).select("doc", "start", F.explode("hits").alias("i"))
     return same.unionByName(partly.select("doc", (F.col("start") + F.col("i")).alias("start"), (F.col("start") + F.col("i") + window).alias("end")))
