@@ -16,8 +16,8 @@ from sourceloom.llm.kernels import inverse_powers, mixed, powers, raw, sliding_m
 ANCHOR = 80
 #: Window starts handled at once within a long text; what lies across the border is read by both sides.
 PIECE = 1 << 22
-#: Bytes of a digit of the radix sort: as one sort key of a task, and as a grouping key of all tasks.
-DIGIT, WIDE_DIGIT = 8, 50
+#: Bytes of a digit of the radix sort; a digit is compared by its 64-bit hash.
+DIGIT = 50
 #: Anchors with more distinct surroundings than this are sorted by all tasks together.
 ONE_TASK = 4096
 #: Suffixes that a task sorts at once, beyond the anchor that fills it up.
@@ -68,17 +68,15 @@ def _anchored(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 def _passes(bodies: list[bytes], anchors: np.ndarray, copies: np.ndarray, windows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Body and place of each suffix whose first ``window`` bytes occur twice: most-significant-digit passes over groups."""
     sizes = np.array([len(b) for b in bodies], np.int64)
-    text = np.frombuffer(b"".join(bodies) + bytes(DIGIT), np.uint8)
-    word = np.zeros(len(text) - DIGIT, np.uint64)
-    for j in range(DIGIT):
-        word = (word << _U(8)) | text[j:j + len(word)]
+    text = np.frombuffer(b"".join(bodies), np.uint8)
+    back, total = inverse_powers(len(text) + 1), np.zeros(len(text) + 1, np.uint64)
+    np.cumsum((text.astype(np.uint64) + _U(1)) * powers(len(text)), out=total[1:])
     body = np.repeat(np.arange(len(bodies)), windows)
     place = np.arange(len(body)) - np.repeat(np.cumsum(windows) - windows, windows)
     at, group = (np.cumsum(sizes) - sizes)[body] + place, np.unique(anchors, return_inverse=True)[1][body]
     for depth in range(0, window, DIGIT):
-        digit = word[at + depth]
-        if window - depth < DIGIT:
-            digit = digit >> _U(8 * (DIGIT - window + depth))
+        low, high = at + depth, at + min(depth + DIGIT, window)
+        digit = mixed((total[high] - total[low]) * back[low])
         order = np.lexsort((digit, group))
         group, digit, body, place, at = group[order], digit[order], body[order], place[order], at[order]
         if not len(group):
@@ -137,8 +135,8 @@ def _shared_radix(held: DataFrame, window: int) -> DataFrame:
     """The same passes by all tasks together, with a group per digits so far."""
     suffixes = held.select("anchor", "span", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("windows") - 1)).alias("i"), "body")
     group, key = F.col("anchor"), []
-    for depth in range(0, window, WIDE_DIGIT):
-        group = F.xxhash64(group, F.expr(f"substring(body, int(i + 1 + {depth}), {min(WIDE_DIGIT, window - depth)})"))
+    for depth in range(0, window, DIGIT):
+        group = F.xxhash64(group, F.expr(f"substring(body, int(i + 1 + {depth}), {min(DIGIT, window - depth)})"))
         key.append(group)
     rows = suffixes.select("anchor", "span", "copies", "i", *(g.alias(f"g{p}") for p, g in enumerate(key)))
     for p in range(len(key)):  # a suffix is carried as its number, not its bytes
