@@ -19,7 +19,7 @@ SLOTS, BLOCKS = 1 << 22, 64
 #: Fragments of the global order.
 FRAGMENTS = 4
 #: Posting lists up to this length are compared pair by pair, longer ones with hubs until nothing is left to compare.
-PLAIN_LIST = 8
+PLAIN_LIST = 4
 #: Hubs that a long list gets in each round.
 HUBS = 8
 
@@ -197,9 +197,11 @@ class NgramJoin:
         lists = store(postings.join(shared.hint("merge"), "key"), "ngram-lists")
         short, long = lists.where(f"m <= {PLAIN_LIST}"), lists.where(f"m > {PLAIN_LIST}")
         plain = self._pairs(short.alias("x").join(short.alias("y"), F.expr(f"x.key = y.key AND x.id < y.id AND {self._near('x', 'y')}")), "x", "y")
-        # The first round takes a list's own hub only: near copies share most lists, and so their hubs.
-        own = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "pos")).alias("x")).select("key", "x.id", "x.n", "x.pos")
-        first = self._pairs(long.alias("x").join(own.alias("y"), F.expr(f"x.key = y.key AND x.id <> y.id AND {self._near('x', 'y')}")), "x", "y")
+        # In the first round a list's hub is its member of least hash, and a document meets the least hub of all its lists.
+        own = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "pos")).alias("x")).select("key", "x.*")
+        met = long.alias("x").join(own.alias("y"), F.expr(f"x.key = y.key AND x.id <> y.id AND {self._near('x', 'y')}"))
+        met = met.groupBy(F.col("x.id").alias("id")).agg(F.min(F.struct("y.h", F.col("y.id").alias("hub"))).alias("y"))
+        first = met.select(F.least("id", "y.hub").alias("a"), F.greatest("id", "y.hub").alias("b")).distinct()
         tested = store(plain.unionByName(first).distinct(), "ngram-pairs")
         links = store(self._linked(tested), "ngram-links")
         done = long.select("id").limit(0)
