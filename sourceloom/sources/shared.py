@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """Fresh folder name under ``spark.checkpoint.dir``; a local one only if that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    """Fresh folder name under ``spark.checkpoint.dir``; if that is unset, a local one for a local master, else an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
