@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sourceloom.llm.common import ship
 
-#: Labelled documents of each language that the model is fitted on at most, and words of each that it reads.
-FIT_DOCS, FIT_WORDS = 200, 100
+#: Labelled documents of each language that the model is fitted on at most, words of each that it reads, and most frequent languages it learns.
+FIT_DOCS, FIT_WORDS, FIT_LABELS = 200, 100, 200
 #: Hashed features, passes over the sample, step size.
 FEATURES, EPOCHS, RATE = 1 << 16, 3, 0.4
 #: Words of a worker whose features are remembered; the memory is cleared when full.
 REMEMBERED = 1 << 18
+#: New words scored together.
+NEW_WORDS = 1 << 14
 #: Sequences of a fitting step, and words of the stretches of one language they are made of.
 STEP_SEQUENCES, STRETCH = 32, 12
 
@@ -26,14 +30,14 @@ _WORD = regex.compile(r"[\p{L}\p{M}']*\p{L}[\p{L}\p{M}']*")
 
 def _slots(word: str) -> list[int]:
     """Hashed features: the word itself (lexicon), its affixes and its letter n-grams."""
-    w = f"<{word}>"
-    names = [f"w{word}", *(f"p{w[:n]}" for n in (2, 3, 4)), *(f"s{w[-n:]}" for n in (2, 3, 4)), *(f"g{w[i:i + n]}" for n in (1, 2, 3) for i in range(1, len(w) - n))]
-    slots = set()
-    for name in names:
-        h = 2166136261
-        for b in name.encode():
-            h = (h ^ b) * 16777619 & 0xFFFFFFFF
-        slots.add((h ^ h >> 15) % FEATURES)
+    w = f"<{word}>".encode("utf-32-le")  # four bytes a letter
+    end = len(w)
+    slots = {crc32(w) % FEATURES}
+    for n in (8, 12, 16):
+        slots.add(crc32(w[:n], 1) % FEATURES)
+        slots.add(crc32(w[-n:], 2) % FEATURES)
+    for n in (4, 8, 12):
+        slots.update([crc32(w[i:i + n], 3) % FEATURES for i in range(4, end - n, 4)])
     return list(slots)
 
 
@@ -108,20 +112,37 @@ def fit(texts: list[str], labels: list[str], seed: int = 7) -> dict:
 
 
 class Lexicon(dict):
-    """Rows of ``table`` (emission scores) by word, filled as words come."""
+    """Rows of ``table`` (emission scores) by word, filled as words come; ``rows`` scores the new ones together."""
 
     def __init__(self, weight: np.ndarray) -> None:
         super().__init__()
-        self.weight, self.table = weight, np.zeros((REMEMBERED // 8, weight.shape[1]), np.float32)
+        self.weight, self.table, self.new = weight, np.zeros((REMEMBERED // 8, weight.shape[1]), np.float32), []
 
     def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self.weight[_slots(word)].mean(0) * 8
-        self[word] = at
+        at = self[word] = len(self)
+        self.new.append(_slots(word))
+        if len(self.new) == NEW_WORDS:
+            self._score()
         return at
 
+    def _score(self) -> None:
+        n = np.array([len(s) for s in self.new])
+        while len(self) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        slots = np.fromiter(chain.from_iterable(self.new), np.int64, n.sum())
+        sums = np.add.reduceat(self.weight[slots], np.cumsum(n) - n)
+        self.table[len(self) - len(n):len(self)] = sums * 8 / n[:, None]
+        self.new = []
+
+    def rows(self, texts: list[list[str]], words: int) -> np.ndarray:
+        """Scores of all words, in order."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        at = np.fromiter((i for ws in texts for i in map(self.__getitem__, ws)), np.int64, words)
+        if self.new:
+            self._score()
+        return self.table[at]
+
 
 _lexicons: dict[str, Lexicon] = {}
 
@@ -135,13 +156,10 @@ def _labelled(batches: Iterator[pa.RecordBatch], model, keep: list[str]) -> Iter
         lexicon = _lexicons[spec["id"]] = Lexicon(spec["weight"])
 
     def of_group(texts: list[list[str]]) -> list[np.ndarray]:
-        if len(lexicon) > REMEMBERED:
-            lexicon.clear()
         length = np.array([len(ws) for ws in texts])
-        at = np.fromiter((i for ws in texts for i in map(lexicon.__getitem__, ws)), np.int64, length.sum())
         inside = np.arange(length[0])[None, :] < length[:, None]
         scores = np.zeros((len(texts), length[0], len(names)), np.float32)
-        scores[inside] = lexicon.table[at]
+        scores[inside] = lexicon.rows(texts, int(length.sum()))
         gamma, _ = _forward_backward(scores, move, length)
         return list((gamma * inside[:, :, None]).sum(1) / length[:, None])
 
@@ -180,7 +198,7 @@ def identify(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
     labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
     draw = F.xxhash64(F.col(id_col).cast("string"), F.lit("fit"))
     # Candidates by a hash threshold, from the count of each label; the few left are cut to the bound.
-    counts = labelled.groupBy(F.col(label_col).alias("l")).agg(F.count("*").alias("c")).orderBy(F.desc("c")).limit(200).collect()
+    counts = labelled.groupBy(F.col(label_col).alias("l")).agg(F.count("*").alias("c")).orderBy(F.desc("c")).limit(FIT_LABELS).collect()
     some = None
     for label in counts:
         share = min(1.0, 2 * FIT_DOCS / label.c)
