@@ -34,11 +34,6 @@ def point_ids(chunks: DataFrame, start_id: int = 0, id_col: str = "id") -> DataF
     ).drop("id_group", "id_offset", "id_rank")
 
 
-def stable_id(*columns: str) -> Column:
-    """Digest id for runs that must not renumber: same place in the corpus, same id."""
-    return F.sha2(F.concat_ws("\x1f", *columns), 256)
-
-
 def payload(chunks: DataFrame) -> Column:
     """Struct of the stored metadata of a chunk."""
     named = {"function_name": F.col("name")}
@@ -68,15 +63,23 @@ def read_collection(spark: SparkSession, place: str) -> DataFrame:
     return spark.read.parquet(place)
 
 
-def upsert(existing: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of the batch, and the existing rows whose key it does not hold."""
-    return existing.join(batch.select(key), key, "left_anti").unionByName(batch, allowMissingColumns=True)
+def newest(batch: DataFrame, key: str = "id", latest: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the greatest by the ``latest`` columns, then by the others; map columns are not compared."""
+    others = [f.name for f in batch.schema.fields if f.name not in latest and f.dataType.typeName() != "map"]
+    order = F.struct(*(F.col(f"`{c}`") for c in (*latest, *others)))
+    row = F.struct(*(F.col(f"`{c}`") for c in batch.columns))
+    return batch.groupBy(key).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+
+
+def upsert(existing: DataFrame, batch: DataFrame, key: str = "id", latest: Sequence[str] = ()) -> DataFrame:
+    """One row of the batch per key, see ``newest``, and the existing rows whose key it does not hold."""
+    return existing.join(batch.select(key), key, "left_anti").unionByName(newest(batch, key, latest), allowMissingColumns=True)
 
 
 def upsert_collection(spark: SparkSession, place: str, batch: DataFrame, new_place: str, key: str = "id",
-                      partition_by: Sequence[str] = ("language",)) -> str:
+                      partition_by: Sequence[str] = ("language",), latest: Sequence[str] = ()) -> str:
     """Writes the merged collection beside the old one, which stays valid if the job dies."""
-    merged = upsert(read_collection(spark, place), batch, key)
+    merged = upsert(read_collection(spark, place), batch, key, latest)
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(new_place)
     return new_place
 

@@ -125,3 +125,10 @@ def test_metrics(spark, code, loc, notes, branches):
 def test_block_comment_cleaner(spark, comment, text):
     df = spark.createDataFrame([(comment,)], "c string")
     assert df.select(X.clean_block_comment(F.col("c")).alias("x")).first().x == text
+
+
+def test_upsert_keeps_one_row_per_key(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id int, name string, version int")
+    batch = spark.createDataFrame([(1, "z", 2), (1, "c", 3), (1, "c", 3), (3, "d", 2)], old.schema)
+    got = C.upsert(old, batch, latest=["version"]).collect()
+    assert sorted(map(tuple, got)) == [(1, "c", 3), (2, "b", 1), (3, "d", 2)]
