@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 # Id ranges: files fall into this many groups by the leading hex digits of a digest.
 ID_GROUPS_HEX = 4
 
-# Payload keys, in order; the chunk name is stored as ``function_name``.
-PAYLOAD = ("file_path", "function_name", "code", "start_line", "end_line", "language", "function_type", "arguments",
+# Payload keys in their order; the chunk name is stored as ``function_name``.
+PAYLOAD = ("function_name", "file_path", "start_line", "end_line", "language", "function_type", "code", "arguments",
            "return_type", "docstring", "modifiers", "scope", "imports", "calls", "complexity", "loc", "comment_lines")
 
 
