@@ -19,6 +19,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return linked.where("u <> v").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is either the centre of its edges or the leaf of one."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+    torn = ends.groupBy("id").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return not torn.where("leaf > 1 OR leaf = 1 AND centre = 1").limit(1).count()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, label``: the least node of its component, for every node of ``edges(u, v)``.
 
@@ -26,12 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
     executor costs no more than a round.  Nodes without edges are not listed.
     """
     edges = store(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not _stars(edges):
         edges = store(_star(_star(edges, True), False), "star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(
-        edges.select(F.col("v").alias("id"), F.col("v").alias("label"))).distinct()
+        edges.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())

@@ -20,8 +20,8 @@ SLOTS, BLOCKS = 1 << 22, 64
 FRAGMENTS = 4
 #: Posting lists up to this length are compared pair by pair, longer ones with hubs until nothing is left to compare.
 PLAIN_LIST = 4
-#: Hubs that a long list gets in each round.
-HUBS = 8
+#: Hubs that a long list gets in the second round, and the factor by which each later round has more.
+HUBS, WIDER = 8, 4
 
 _U = np.uint64
 
@@ -136,7 +136,7 @@ class NgramJoin:
     fragment of the order on its own and summed per pair.
 
     In a long posting list candidates are its members against a few hubs; members not yet in the
-    list's main component are hubs of later rounds until every pair of different components
+    list's main component are hubs of later rounds, four times as many in each, until every pair of different components
     was compared, so no link between components is lost and no group is expanded into all its pairs.
     """
 
@@ -204,27 +204,28 @@ class NgramJoin:
         first = met.select(F.least("id", "y.hub").alias("a"), F.greatest("id", "y.hub").alias("b")).distinct()
         tested = store(plain.unionByName(first).distinct(), "ngram-pairs")
         links = store(self._linked(tested), "ngram-links")
-        done = long.select("id").limit(0)
+        done, wide = long.select("id").limit(0), HUBS
         found = components(links)
         while True:
             placed = long.join(found, "id", "left").withColumn("label", F.coalesce("label", "id"))
             main = placed.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
                 F.max_by("label", "c").alias("main"), F.count("*").alias("labels")).where("labels > 1").select("key", "main")
             open_ = placed.join(main, "key").where("label <> main").join(done, "id", "left_anti")
-            salted = open_.groupBy("key", F.pmod(F.xxhash64("id", F.lit("hub")), F.lit(HUBS)).alias("s")).agg(F.min("id").alias("id"))
+            salted = open_.groupBy("key", F.pmod(F.xxhash64("id", F.lit("hub")), F.lit(wide)).alias("s")).agg(F.min("id").alias("id"))
             hubs = store(salted.select("id").distinct(), "hubs")
             if not hubs.limit(1).count():
                 return found
-            fresh = store(self._against(long, hubs).join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
+            fresh = store(self._against(placed, hubs).join(tested, ["a", "b"], "left_anti"), "ngram-pairs")
             new = store(self._linked(fresh), "ngram-links")
             tested, done = store(tested.unionByName(fresh), "ngram-tested"), store(done.unionByName(hubs), "hubs-done")
+            wide *= WIDER
             if new.limit(1).count():
-                links = links.unionByName(new)
-                found = components(links)
+                found = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")).unionByName(new))
 
-    def _against(self, long: DataFrame, hubs: DataFrame) -> DataFrame:
-        hub = long.join(hubs, "id", "left_semi")
-        return self._pairs(long.alias("x").join(hub.alias("y"), F.expr(f"x.key = y.key AND x.id <> y.id AND {self._near('x', 'y')}")), "x", "y")
+    def _against(self, placed: DataFrame, hubs: DataFrame) -> DataFrame:
+        """Pairs of a hub and a member of one of its lists that no link has joined so far."""
+        hub = placed.join(hubs, "id", "left_semi")
+        return self._pairs(placed.alias("x").join(hub.alias("y"), F.expr(f"x.key = y.key AND x.label <> y.label AND {self._near('x', 'y')}")), "x", "y")
 
 
 def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
