@@ -34,15 +34,28 @@ def ignore_patterns(spark: SparkSession, root: str, ignore_file: str | None) ->
         stream.close()
 
 
-def _relative(location: Column, base: str) -> Column:
+def base_path(spark: SparkSession, root: str) -> str:
+    """Path of the root without scheme and authority."""
+    fs, path = _filesystem(spark, root)
+    return fs.makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def relative_path(location: Column, base: str) -> Column:
     """Path below the root from a URI: drops scheme and authority, then decodes."""
     plain = F.regexp_replace(location, r"\A[A-Za-z][\w+.-]*:(?://[^/]*)?", "")
     decoded_path = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
     return F.substring(decoded_path, F.lit(len(base) + 2), F.length(decoded_path))
 
 
+def wanted(relative: Column, patterns: Sequence[str], languages: Sequence[str] | None = None) -> Column:
+    """Whether a path below the root has one of the languages (any known one if none is named) and no rule excludes it."""
+    language = language_of(relative)
+    chosen = language.isNotNull() if languages is None else language.isin(*languages)
+    return chosen & ~is_ignored(relative, patterns)
+
+
 def _unlisted(spark: SparkSession, root: str, base: str) -> DataFrame:
-    """``(uri, path)`` of files Spark's listing skips: a segment starts with ``_`` or ``.``.
+    """``(uri, path)`` of files Spark's listing skips: a segment starts with ``.``, or with ``_`` and holds no ``=``.
 
     ``__init__.py`` is one of them.  The first-level entries are listed here; the
     trees below them are walked inside tasks, one entry each.
@@ -64,7 +77,7 @@ def _unlisted(spark: SparkSession, root: str, base: str) -> DataFrame:
                 prefix = uri[:len(uri) - len(place)]
                 found = [i.path for i in store.get_file_info(selector) if i.type == arrow_fs.FileType.File]
                 below = [p[p.index(base) + len(base) + 1:] for p in found]
-                kept = [(prefix + p, r) for p, r in zip(found, below) if any(s[:1] in "._" for s in r.split("/"))]
+                kept = [(prefix + p, r) for p, r in zip(found, below) if any(s[:1] == "." or s[:1] == "_" and "=" not in s for s in r.split("/"))]
                 yield pd.DataFrame(kept, columns=["uri", "path"])
 
     listed = spark.createDataFrame(entries, "uri string, is_dir boolean").repartition(min(len(entries), 256))
@@ -93,22 +106,16 @@ def list_corpus(
     read only file metadata, so no excluded file is opened.
     """
     patterns = ignore_patterns(spark, root, ignore_file)
-    fs, path = _filesystem(spark, root)
-    base = fs.makeQualified(path).toUri().getPath().rstrip("/")
+    base = base_path(spark, root)
     raw = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", SUFFIX_GLOB).load(root)
     )
 
-    def wanted(relative: Column) -> Column:
-        language = language_of(relative)
-        chosen = language.isNotNull() if languages is None else language.isin(*languages)
-        return chosen & ~is_ignored(relative, patterns)
-
-    relative = _relative(F.col("_metadata.file_path"), base)
-    seen = raw.where(wanted(relative)).select(
+    relative = relative_path(F.col("_metadata.file_path"), base)
+    seen = raw.where(wanted(relative, patterns, languages)).select(
         relative.alias("path"), language_of(relative).alias("language"), "content", "length", "modificationTime")
-    unseen = _unlisted(spark, root, base).where(wanted(F.col("path"))).withColumn("language", language_of(F.col("path")))
+    unseen = _unlisted(spark, root, base).where(wanted(F.col("path"), patterns, languages)).withColumn("language", language_of(F.col("path")))
     spread = unseen.repartition(spark.sparkContext.defaultParallelism, "path")
     return seen.unionByName(spread.mapInPandas(_read, seen.schema))
 

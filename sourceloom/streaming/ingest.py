@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sourceloom.functions.paths import SUFFIX_GLOB, is_ignored, language_of
+from sourceloom.functions.paths import SUFFIX_GLOB, language_of
 from sourceloom.operators.chunks import extract_functions
 from sourceloom.operators.predicates import decoded, is_binary, is_text
+from sourceloom.sources.scan import base_path, relative_path, wanted
 
 
-def file_stream(spark: SparkSession, root: str, patterns=(), max_files: int | None = None) -> DataFrame:
+def file_stream(
+    spark: SparkSession, root: str, patterns: Iterable[str] = (), max_files: int | None = None, languages: Sequence[str] | None = None
+) -> DataFrame:
     """Stream of ``files(path, language, text)``; each file is seen once.
 
-    Spark's stream listing leaves out names that start with ``_`` or ``.``.
+    Paths are relative to the root and go through the ignore rules and languages as in ``list_corpus``.  Spark's stream listing leaves out names that start with ``_`` or ``.``.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -23,7 +28,8 @@ def file_stream(spark: SparkSession, root: str, patterns=(), max_files: int | No
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     content = F.col("content")
-    kept = reader.load(root).where(~is_ignored(F.col("path"), patterns))
+    path = relative_path(F.col("_metadata.file_path"), base_path(spark, root))
+    kept = reader.load(root).withColumn("path", path).where(wanted(F.col("path"), list(patterns), languages))
     return kept.where(~is_binary(content) & is_text(content)).select(
         "path", language_of(F.col("path")).alias("language"), decoded(content).alias("text")
     )

@@ -42,6 +42,13 @@ def test_scan_without_rules_and_with_languages(spark, tree):
     assert {r.path for r in scan_corpus(spark, tree + "/", ["rust"], "absent").collect()} == {"src/LIB.RS"}
 
 
+def test_partition_like_names_are_listed_once(spark, tmp_path):
+    for name in ("_v=1/a.py", "_in/b.py", ".c/_v=2/d.py"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("def f(): pass\n")
+    assert sorted(r.path for r in scan_corpus(spark, str(tmp_path)).collect()) == [".c/_v=2/d.py", "_in/b.py", "_v=1/a.py"]
+
+
 def test_missing_directory_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         scan_corpus(spark, str(tmp_path / "none"))
@@ -105,3 +112,15 @@ def test_stream_sees_each_file_once(spark, tree, tmp_path_factory):
         f.write("package p\nfunc late() {}\n")
     run()
     assert spark.read.parquet(out + "/chunks").count() == first + 1
+
+
+def test_stream_follows_the_rules_of_the_scan(spark, tmp_path):
+    for name in ("build/root/top.py", "build/root/a/top.py", "build/root/a/b+c%20.py", "build/root/x.go", "build/root/build/y.py"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("def f(): pass\n")
+    root, out = str(tmp_path / "build/root"), str(tmp_path / "out")
+    rules = ["/top.py", "build/"]
+    (tmp_path / "build/root/.rules").write_text("\n".join(rules))
+    ingest(file_stream(spark, root, rules, languages=["python"]), out + "/chunks", out + "/state").awaitTermination()
+    streamed = {r.file_path for r in spark.read.parquet(out + "/chunks").collect()}
+    assert streamed == {r.path for r in scan_corpus(spark, root, ["python"], ".rules").collect()} == {"a/top.py", "a/b+c%20.py"}
