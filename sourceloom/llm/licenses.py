@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -75,25 +76,40 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 def scan(words: list[str], counts: Counter, template: list[str], need: Counter, threshold: float) -> tuple[int, int, int, int] | None:
-    """Best place of a template in a text: words matched, first and last word, and number of places that reach the threshold."""
-    if sum(min(n, counts[w]) for w, n in need.items()) < threshold * len(template):
+    """Best place of a template in a text: words matched, first and last word, and number of places that reach the threshold.
+
+    A place lacks at most ``size - least`` template words, so it matches one of any ``size - least + 1`` different ones: the
+    windows around the rarest of these hold every place, also of edited notices.
+    """
+    size = len(template)
+    least = max(math.ceil(threshold * size), 1)
+    if sum(min(n, counts[w]) for w, n in need.items()) < least:
         return None  # no alignment can match more words than both sides have
-    rare = min((w for w in need if counts[w]), key=lambda w: (counts[w], template.index(w)))
-    at, size = template.index(rare), len(template)
-    best, places, end = None, 0, -1
-    for p in (i for i, w in enumerate(words) if w == rare):
-        low = max(p - at - size // 2 - 2, 0)
-        pairs = align(words[low:p + size - at + size // 2 + 2], template)
-        if len(pairs) < threshold * size:
-            continue
-        first, last = low + pairs[0][0], low + pairs[-1][0]
-        if last - first + 1 > 2 * size:
+    rarest = sorted(need, key=lambda w: (counts[w] * need[w], template.index(w)))[:size - least + 1]
+    at = {w: [j for j, t in enumerate(template) if t == w] for w in rarest}
+    windows = set()
+    for p, w in enumerate(words):
+        for j in at.get(w, ()):
+            # The narrow window keeps neighbouring notices apart; the wide one holds any place of up to 2 * size words.
+            for slack in (size // 2 + 2, 2 * size - least):
+                windows.add((max(p - j - slack, 0), min(p + size - j + slack, len(words))))
+    hits = set()
+    for low, high in windows:
+        part = words[low:high]
+        here = Counter(w for w in part if w in need)
+        if sum(min(n, here[w]) for w, n in need.items()) < least:
             continue
+        pairs = align(part, template)
+        if len(pairs) >= least and pairs[-1][0] - pairs[0][0] < 2 * size:
+            hits.add((low + pairs[-1][0], low + pairs[0][0], len(pairs)))
+    if not hits:
+        return None
+    places, end = 0, -1
+    for last, first, _ in sorted(hits):
         if first > end:
             places, end = places + 1, last
-        if best is None or len(pairs) > best[0]:
-            best = (len(pairs), first, last)
-    return (*best, places) if best else None
+    last, first, matched = min(hits, key=lambda x: (-x[2], x[0], -x[1]))
+    return matched, first, last, places
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], templates: dict[str, str], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -118,7 +134,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresho
     """One row per document and license whose template is covered to ``threshold`` or more in one place of the text.
 
     Words are lower-cased letters and digits.  A bound on the words in common leaves out pairs that no alignment can save; the rest
-    is aligned around each occurrence of the template's rarest word in the text.
+    is aligned around the occurrences of the template's rarest words in the text, of so many that each place holds one of them.
 
     Null, empty and wordless texts give no row, nor do wordless templates.  Of equally good places the first is given.  Repeated rows
     are scanned each; null ids are kept; other columns are not read.  Memory is one text's words.

@@ -162,6 +162,24 @@ def test_licenses_in_long_texts(spark):
     assert got[1, "GPL-3.0 notice"].first_word == 15000 and got[3, "GPL-3.0 notice"].n_places == 2
 
 
+def test_licenses_with_a_word_edited_out(spark):
+    """Each template word replaced in turn, in a text that holds the lost word once elsewhere and the others twice more."""
+    docs, want = [], {}
+    for name, text in licenses.TEMPLATES.items():
+        ws = licenses.words_of(text)
+        for i, w in enumerate(ws):
+            if len(ws) - 1 < 0.85 * len(ws):
+                continue
+            edited = ws[:i] + ["edited"] + ws[i + 1:]
+            others = [f" {x} " + "far " * 3 * len(ws) for x in 2 * sorted(set(ws) - {w})]
+            before = licenses.words_of(w + " far" * 3 * len(ws) + "".join(others))
+            docs.append((len(docs), " ".join(before + edited + ["far"] * 100), None, None))
+            pairs = licenses.align(edited, ws)
+            want[len(docs) - 1, name] = (len(pairs), len(before) + pairs[0][0], len(before) + pairs[-1][0])
+    got = {(r.doc_id, r.license): (r.n_matched, r.first_word, r.last_word) for r in license_scan(frame(spark, docs)).collect()}
+    assert len(want) > 100 and {k: got.get(k) for k in want} == want
+
+
 def test_line_runs_compact(spark):
     runs = LineRuns(fanout=2)
     for doc in range(5, 0, -1):
