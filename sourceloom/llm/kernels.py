@@ -15,8 +15,11 @@ _ODD = _U(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # The bytes that separate words, space and 0x09 to 0x0D.
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[32, 9, 10, 11, 12, 13]] = True
+SOLID = np.ones(256, dtype=np.uint8)
+SOLID[[32, 9, 10, 11, 12, 13]] = 0
+# Bytes of search terms, that is 0-9, A-Z, a-z and all of multi-byte characters.
+TERMS = np.zeros(256, dtype=np.uint8)
+TERMS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -64,18 +67,22 @@ def steps(offsets: np.ndarray, limit: int = STEP) -> Iterator[tuple[int, int]]:
 class Words:
     """Words of consecutive rows: ``hash``, ``row``, byte range ``start``/``end``, and ``count`` per row.
 
-    Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased, never across rows.
+    Words are runs of bytes of one class, never across rows; class 0 separates.  By default they are runs of
+    bytes other than space and 0x09-0x0D, and A-Z are lower-cased.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, classes: np.ndarray = SOLID, fold: bool = True) -> None:
         begin = int(offsets[0])
-        text = _LOWER[data[begin:int(offsets[-1])]]
+        text = data[begin:int(offsets[-1])]
+        text = _LOWER[text] if fold else text
         bounds = offsets - begin
-        solid = ~_BLANK[text]
+        kind = classes[text]
+        solid = kind > 0
+        change = kind[1:] != kind[:-1]
         first = solid.copy()
-        first[1:] &= ~solid[:-1]
+        first[1:] &= change
         last = solid.copy()
-        last[:-1] &= ~solid[1:]
+        last[:-1] &= change
         heads = bounds[:-1][bounds[:-1] < bounds[1:]]
         first[heads] = solid[heads]
         tails = heads[1:] - 1

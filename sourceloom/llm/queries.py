@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, each with its oracle SQL where SQL can express it."""
+"""The operators over their whole tables, each with its oracle SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -11,12 +11,15 @@ from sourceloom.llm.decontaminate import contained_items
 from sourceloom.llm.fingerprints import fingerprint_edits, hashes_of, likeness
 from sourceloom.llm.language_id import identify
 from sourceloom.llm.language_model import hmm_scores
+from sourceloom.llm.lexical_search import ranked_search
 from sourceloom.llm.licenses import license_scan
 from sourceloom.llm.line_dedup import dedup_lines
 from sourceloom.llm.ngram_join import ngram_components
+from sourceloom.llm.quality import quality_scores
 from sourceloom.llm.repeats import remove_repeats
 from sourceloom.llm.source_mix import mix_sources
 from sourceloom.llm.token_counts import token_counts
+from sourceloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,3 +144,39 @@ def op1_license_scan(spark, sf_dir):
 def op4_hmm_scores(spark, sf_dir):
     """Log probability of every whole text under a hidden Markov model of the training texts."""
     return hmm_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark, sf_dir):
+    """Every usable vector on the eight leading components, whitened."""
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_quality")
+def op12_quality(spark, sf_dir):
+    """Quality of every whole text, learnt from the labels."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _search_terms_sql(table_name: str, key: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""(SELECT row_number() OVER () AS r, {key}, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM {table_name})"""
+
+
+@query("op13_lexical_search", f"""
+WITH d AS MATERIALIZED {_search_terms_sql('documents', 'doc_id')},
+n AS (SELECT r, doc_id, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+g AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n),
+p AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+f AS (SELECT t, count(*)::BIGINT AS df FROM p GROUP BY t),
+i AS (SELECT item_id, any_value(ts) AS ts, min(r) AS r FROM {_search_terms_sql('benchmark', 'item_id')} GROUP BY item_id, ts),
+q AS (SELECT r AS i, item_id, t, count(*)::BIGINT AS q FROM (SELECT r, item_id, unnest(ts) AS t FROM i) GROUP BY ALL),
+w AS (SELECT i, item_id, t, q * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM q JOIN f USING (t), g),
+s AS (SELECT i, item_id, r, any_value(doc_id) AS doc_id,
+  sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM w JOIN p USING (t) JOIN n USING (r), g GROUP BY i, item_id, r),
+o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM o WHERE rank <= 10""")
+def op13_lexical_search(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
