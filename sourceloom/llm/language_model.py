@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sourceloom.llm.common import ship, store
 from sourceloom.llm.kernels import Words, mixed, raw, steps
 
-#: Latent states, words with emissions of their own (the others share one emission and differ by count), Baum-Welch rounds.
-STATES, OWN_WORDS, ROUNDS = 4, 4096, 3
-#: Most frequent words whose counts are broadcast (8 MB at most); counts of other words come by a join.
+#: Latent states, Baum-Welch rounds, and the occurrences that a word is taken to have in all states alike.
+STATES, ROUNDS, ALIKE = 4, 3, 3.0
+#: Most frequent words with emissions of their own, broadcast (24 MB at most); the others share one emission and
+#: differ by their counts, which come by a join.
 TABLE_WORDS = 1 << 19
 #: Tokens handled together, padding included.
 GROUP_TOKENS = 200_000
@@ -42,26 +43,53 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = raw(batch.column("_text"))
-        for a, b in steps(offsets, 1 << 24):
+        for a, b in steps(offsets):
             h, c = np.unique(_tokens(data, offsets[a:b + 1])[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:
+    """Texts as ranks of their tokens among the table's words, with the sums that do not depend on the model.
+
+    Tokens that are not in the table have the rank behind the last one; their hashes are listed in ``rest``.
+    """
+    keys, counts, ranks = table.value
+    for batch in batches:
+        data, offsets = raw(batch.column("_text"))
+        for a, b in steps(offsets):
+            h, n = _tokens(data, offsets[a:b + 1])
+            row = np.repeat(np.arange(b - a), n)
+            if len(keys):
+                distinct, back = np.unique(h, return_inverse=True)
+                at = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
+                there = keys[at] == distinct
+                rank, count = np.where(there, ranks[at], len(keys))[back], np.where(there, counts[at], 0)[back]
+            else:
+                rank, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+            known = count > 0
+            total = lambda x: np.bincount(row, weights=x, minlength=b - a)
+            lists = lambda flags, values: pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row[flags], minlength=b - a))).astype(np.int32)), pa.array(values))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).slice(a, b - a) for c in ("_row", "doc_id", "held_out")), pa.array(total(known).astype(np.int64)),
+                 pa.array(total(np.log10(count + 1.0))), lists(slice(None), rank.astype(np.int32)), lists(~known, h[~known].view(np.int64))],
+                names=["_row", "doc_id", "held_out", "known", "logs", "ids", "rest"])
+
+
+def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Some rows at a time: first and last row, ranks of their tokens, tokens per row."""
+    ids = batch.column("ids")
+    flat, size = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    edge = np.append(0, np.cumsum(size))
+    for a, b in steps(edge, 2 * GROUP_TOKENS):
+        yield a, b, flat[edge[a]:edge[b]], size[a:b]
+
+
 class _Model:
     def __init__(self, spec: dict) -> None:
-        self.keys, self.counts, self.classes = spec["keys"], spec["counts"], spec["classes"]
         self.start, self.move, self.emit = spec["start"], spec["move"], spec["emit"]
 
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Emission class and count of tokens; count 0 if not in the table."""
-        if not len(self.keys):
-            return np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        there = self.keys[at] == h
-        return np.where(there, self.classes[at], self.emit.shape[1] - 1), np.where(there, self.counts[at], 0)
-
-    def groups(self, classes: np.ndarray, n: np.ndarray):
-        """Rows of like lengths together: row numbers, lengths and padded classes."""
+    def groups(self, ranks: np.ndarray, n: np.ndarray):
+        """Rows of like lengths together: row numbers, lengths and padded ranks."""
         order, first = np.argsort(-n, kind="stable"), np.cumsum(n) - n
         at = 0
         while at < len(order):
@@ -71,7 +99,7 @@ class _Model:
             inside = np.arange(length[0])[None, :] < length[:, None]
             padded = np.zeros(inside.shape, np.int64)
             source = np.repeat(first[rows], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            padded[inside] = classes[source]
+            padded[inside] = ranks[source]
             yield rows, length, inside, padded
             at += size
 
@@ -94,12 +122,10 @@ def _expected(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatc
     """Baum-Welch counts of a partition: starts, moves and emissions."""
     model = _Model(spec.value)
     k, w = model.emit.shape
-    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((w, k))
+    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((k, w))
     for batch in batches:
-        data, offsets = raw(batch.column("_text"))
-        for a, b in steps(offsets):
-            h, n = _tokens(data, offsets[a:b + 1])
-            for rows, length, inside, padded in model.groups(model.look_up(h)[0], n):
+        for _, _, ranks, n in _sequences(batch):
+            for _, length, inside, padded in model.groups(ranks, n):
                 alpha, scale, emit, live = model.forward(length, padded)
                 beta = np.ones_like(alpha)
                 for t in range(padded.shape[1] - 2, -1, -1):
@@ -109,87 +135,85 @@ def _expected(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatc
                     beta[:m, t] = right @ model.move.T
                 gamma = alpha * beta
                 starts += gamma[:, 0].sum(0)
-                flat, g = padded[inside], gamma[inside]
+                word, back = np.unique(padded[inside], return_inverse=True)
+                g = gamma[inside]
                 for j in range(k):
-                    emits[:, j] += np.bincount(flat, weights=g[:, j], minlength=w)
-    values = np.concatenate([starts, (moves * model.move).ravel(), emits.T.ravel()])
+                    emits[j, word] += np.bincount(back, weights=g[:, j], minlength=len(word))
+    values = np.concatenate([starts, (moves * model.move).ravel(), emits.ravel()])
     slots = np.flatnonzero(values)
     yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(values[slots])], names=["slot", "value"])
 
 
 def _scored(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]:
     model = _Model(spec.value)
-    rare = model.emit.shape[1] - 1
+    keep = ("_row", "doc_id", "held_out", "known", "logs")
     for batch in batches:
-        data, offsets = raw(batch.column("_text"))
-        for a, b in steps(offsets):
-            h, n = _tokens(data, offsets[a:b + 1])
-            classes, counts = model.look_up(h)
-            row = np.repeat(np.arange(b - a), n)
-            total = lambda x: np.bincount(row, weights=x, minlength=b - a)
-            logs = np.log10(counts + 1.0)
+        for a, b, ranks, n in _sequences(batch):
             value = np.zeros(b - a)
-            for rows, length, inside, padded in model.groups(classes, n):
+            for rows, length, _, padded in model.groups(ranks, n):
                 value[rows] = np.log10(model.forward(length, padded)[1]).sum(1)
-            other = counts == 0
-            at = np.concatenate([[0], np.cumsum(np.bincount(row[other], minlength=b - a))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).slice(a, b - a) for c in ("_row", "doc_id", "held_out")), pa.array(n.astype(np.int64)),
-                 pa.array(total(~other).astype(np.int64)), pa.array(total(logs)), pa.array(total(classes == rare).astype(np.int64)),
-                 pa.array(total(np.where(classes == rare, logs, 0.0))), pa.array(value),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(h[other].view(np.int64)))],
-                names=["_row", "doc_id", "held_out", "n_tokens", "known", "logs", "n_rare", "rare_logs", "value", "rest"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), pa.array(n), pa.array(value)], names=[*keep, "n_tokens", "value"])
 
 
 def hmm_scores(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Tokens are runs of bytes other than space and 0x09-0x0D with A-Z lower-cased, and one end per text.  Word counts are
-    grouped over all training texts.  States emit the ``OWN_WORDS`` most frequent words or a rare one; which rare one
-    follows its smoothed count, an unseen word having the share of one.  Baum-Welch counts of all training texts are summed across
-    partitions in each of ``ROUNDS`` rounds, and the scaled forward recursion gives a text's probability, to base 10.
+    grouped over all training texts.  Texts are stored once as ranks of their words; training and scoring read these.  States emit each of the
+    ``TABLE_WORDS`` most frequent words with a probability of its own, or a rarer one; which rarer one follows its smoothed count,
+    an unseen word having the share of one.  Baum-Welch counts of all training texts are summed across partitions in each of
+    ``ROUNDS`` rounds, and the scaled forward recursion gives a text's probability, to base 10.
 
     Null and empty texts are an end only.  Rows with a null id are training texts; repeated rows count and are scored each.
     Without training texts every word has count 0.  A text of any length is one sequence; memory follows the longest text.
-    Words are told apart by 64 bits of hash.  Only fixed-size tables reach the driver: ``TABLE_WORDS`` counts and the model.
+    Words are told apart by 64 bits of hash.  Only tables of bounded size reach the driver: ``TABLE_WORDS`` counts and the model.
     """
     spark = docs.sparkSession
     ship(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), text.alias("_text"))
-    train = base.where("NOT held_out").select("_text")
-    counts = store(train.mapInArrow(_counted, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")), "word-counts")
+    counts = store(base.where("NOT held_out").select("_text").mapInArrow(_counted, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")), "word-counts")
     n_all, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
 
-    top = counts.orderBy(F.desc("c"), "h").limit(TABLE_WORDS).toPandas()
-    own = min(OWN_WORDS, len(top))
-    order = np.argsort(top.h.to_numpy(np.int64).view(np.uint64))
-    c = top.c.to_numpy(np.int64)
-    spec = {"keys": top.h.to_numpy(np.int64).view(np.uint64)[order], "counts": c[order], "classes": np.minimum(np.arange(len(c)), own)[order]}
-    rare_mass = float(n_all - c[:own].sum() + (n_words - own) + 1)
+    top = counts.orderBy(F.desc("c"), "h").limit(TABLE_WORDS).toArrow()
+    h, c = top.column("h").to_numpy().view(np.uint64), top.column("c").to_numpy()
+    own, order = len(c), np.argsort(h)
+    rest_mass = float(n_all - c.sum() + (n_words - own) + 1)
+    table = spark.sparkContext.broadcast((h[order], c[order], order.astype(np.int32)))
+    named = base.withColumn("_row", F.xxhash64("doc_id", "_text"))
+    texts = store(named.mapInArrow(partial(_encoded, table=table), "_row bigint, doc_id bigint, held_out boolean, known bigint, logs double, "
+                                   "ids array<int>, rest array<bigint>"), "ranked-texts")
 
-    # The start: unigram shares, tilted per state by a hash so that the states can part.
-    share = np.append(c[:own] + 1.0, rare_mass)
+    # The start: word frequencies, tilted per state by a hash so that the states can part.
+    share = np.append(c + 1.0, rest_mass)
+    share /= share.sum()
     tilt = mixed(np.arange(STATES * (own + 1), dtype=np.uint64) + np.uint64(1)).reshape(STATES, own + 1) / 2.0 ** 64
     emit = share * (0.1 + 2 * tilt ** 2)
-    spec |= {"start": np.full(STATES, 1 / STATES), "move": np.full((STATES, STATES), 0.1 / STATES) + np.eye(STATES) * 0.9, "emit": emit / emit.sum(1, keepdims=True)}
+    spec = {"start": np.full(STATES, 1 / STATES), "move": np.full((STATES, STATES), 0.1 / STATES) + np.eye(STATES) * 0.9, "emit": emit / emit.sum(1, keepdims=True)}
     for _ in range(ROUNDS if n_all else 0):
-        parts = train.mapInArrow(partial(_expected, spec=spark.sparkContext.broadcast(spec)), "slot bigint, value double")
+        shared = spark.sparkContext.broadcast(spec)
+        parts = texts.where("NOT held_out").select("ids").mapInArrow(partial(_expected, spec=shared), "slot bigint, value double")
+        summed = parts.groupBy("slot").agg(F.sum("value").alias("value")).toArrow()  # one row per parameter
         sums = np.zeros(STATES + STATES * STATES + STATES * (own + 1))
-        for slot, value in parts.groupBy("slot").agg(F.sum("value")).collect():  # one row per parameter
-            sums[slot] = value
+        sums[summed.column("slot").to_numpy()] = summed.column("value").to_numpy()
         start, move, emit = np.split(sums, [STATES, STATES + STATES * STATES])
-        move, emit = move.reshape(STATES, STATES) + 0.1, emit.reshape(STATES, -1) + 0.1
-        spec = spec | {"start": (start + 0.1) / (start + 0.1).sum(), "move": move / move.sum(1, keepdims=True), "emit": emit / emit.sum(1, keepdims=True)}
-
-    named = base.withColumn("_row", F.xxhash64("doc_id", "_text"))
-    scored = store(named.mapInArrow(partial(_scored, spec=spark.sparkContext.broadcast(spec)),
-                                    "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, logs double, n_rare bigint, "
-                                    "rare_logs double, value double, rest array<bigint>"), "scores")
-    rest = scored.where("size(rest) > 0").select("_row", "rest").dropDuplicates(["_row"]).select("_row", F.explode("rest").alias("h"))
-    found = rest.join(counts.hint("merge"), "h").groupBy("_row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"))
-    full = scored.drop("rest").join(found, "_row", "left").fillna({"more": 0, "more_logs": 0.0})
+        move, emit = move.reshape(STATES, STATES) + 0.1, emit.reshape(STATES, -1)
+        # A rare word's states are drawn towards those of all words; its frequency stays.
+        held = emit.sum(0)
+        mass = emit.sum(1, keepdims=True) + 1e-9
+        emit = (emit + ALIKE * mass / mass.sum()) / (held + ALIKE) * share
+        spec = {"start": (start + 0.1) / (start + 0.1).sum(), "move": move / move.sum(1, keepdims=True),
+                "emit": emit / emit.sum(1, keepdims=True)}
+        shared.unpersist()
+
+    scored = texts.select("_row", "doc_id", "held_out", "known", "logs", "ids").mapInArrow(
+        partial(_scored, spec=spark.sparkContext.broadcast(spec)),
+        "_row bigint, doc_id bigint, held_out boolean, known bigint, logs double, n_tokens bigint, value double")
+    rest = texts.where("size(rest) > 0").select("_row", "rest").dropDuplicates(["_row"]).select("_row", F.size("rest").alias("n_rest"), F.explode("rest").alias("h"))
+    found = rest.join(counts.hint("merge"), "h", "left").groupBy("_row").agg(
+        F.count("c").alias("more"), F.coalesce(F.sum(F.log10(F.col("c") + 1.0)), F.lit(0.0)).alias("more_logs"), F.first("n_rest").alias("n_rest"))
+    full = scored.join(found, "_row", "left").fillna({"more": 0, "more_logs": 0.0, "n_rest": 0})
     return full.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.col("more")).alias("n_known"), F.lit(int(n_all)).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.col("more_logs") - F.col("n_tokens") * F.log10(F.lit(float(n_all + n_words + 1)))).alias("base_score"),
-        (F.col("value") + F.col("rare_logs") + F.col("more_logs") - F.col("n_rare") * F.log10(F.lit(rare_mass))).alias("score"))
+        (F.col("value") + F.col("more_logs") - F.col("n_rest") * F.log10(F.lit(rest_mass))).alias("score"))
