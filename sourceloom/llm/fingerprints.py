@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Characters of a k-gram and k-grams of a window: any run of K + W - 1 shared characters shares a fingerprint.
 K, W = 16, 32
-#: Texts are cut for the regular expression into pieces of so many characters, each with the K - 1 that follow.
-PIECE = 1 << 16
 #: Low bits of a selected value hold its place counted down, so that the rightmost of equal hashes is the least.
 PLACE_BITS = 24
 #: Groups of neighbouring documents: about so many documents each, and how many groups at most.
@@ -16,12 +14,15 @@ _PLACES = (1 << PLACE_BITS) - 1
 
 
 def _hashed(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds the k-gram hashes of a string column as array ``out``; a short text is one k-gram, an empty one none."""
-    piece = F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(?=(.{{1,{PIECE + K - 1}}})).{{1,{PIECE}}}"), F.lit(1))
-    grams = lambda p: F.transform(F.regexp_extract_all(p, F.lit(rf"(?s)(?=(.{{{K}}}))"), F.lit(1)), lambda g: F.xxhash64(g))
-    return df.withColumn(out, F.when(F.col(text) == "", F.array().cast("array<bigint>"))
-                         .when(F.char_length(text) < K, F.array(F.xxhash64(text)))
-                         .otherwise(F.flatten(F.transform(piece, grams))))
+    """Adds the k-gram hashes of a string column as array ``out``; a short text is one k-gram, an empty one none.
+
+    The text is cut into code points once; four neighbours share a hash, and the gram's hash rolls on over four of these.
+    """
+    df = df.withColumn("_c", F.when(F.char_length(text) >= K, F.split(F.col(text), "")))
+    next_ = lambda name, step: lambda x, i: F.xxhash64(x, *(F.get(F.col(name), i + step * j) for j in range(1, 4)))
+    df = df.withColumn("_q", F.transform("_c", next_("_c", 1))).withColumn("_q", F.transform("_q", next_("_q", 4)))
+    return df.withColumn(out, F.when(F.col(text) == "", F.array().cast("array<bigint>")).when(F.char_length(text) < K, F.array(F.xxhash64(text)))
+                         .otherwise(F.slice("_q", F.lit(1), F.size("_q") - (K - 1)))).drop("_c", "_q")
 
 
 def _minima(df: DataFrame, hashes: str, out: str, offset: Column) -> DataFrame:
@@ -108,14 +109,14 @@ def fingerprint_edits(docs: DataFrame, text_col: str = "text", id_col: str = "do
     that share 47 characters share a fingerprint.  Texts below 16 characters are one gram.  The edited text keeps the selections
     of the windows before the edit; only those that reach into it are made anew.
 
-    Null texts are empty and have no selection.  Null ids come first; rows with the same id stand in an order of their own,
-    and the only row of a table is its own next.  Texts move once, in groups of about 1000 neighbouring ids.  No Python runs.
+    Null texts are empty and have no selection.  Null ids come first; rows with the same id are ordered by the hashes of
+    their texts, and the only row of a table is its own next.  Texts move once, in groups of about 1000 neighbouring ids.  No Python runs.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     groups = _grouped(base, "doc_id").repartition("_g")
     made = winnowed(groups, "text", "own")
-    order = Window.partitionBy("_g").orderBy(F.col("_late"), F.col("doc_id").asc_nulls_first())
     made = made.withColumn("_late", F.col("_guest").cast("int"))
+    order = Window.partitionBy("_g").orderBy(F.col("_late"), F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     ahead = F.lead(F.struct("text", "own")).over(order)
     made = made.withColumn("_next", ahead).where("NOT _guest")
     n, part = F.char_length("text"), F.floor(F.char_length("text") / 4)
