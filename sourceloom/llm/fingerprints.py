@@ -13,37 +13,28 @@ GROUP_DOCS, GROUPS = 1000, 1 << 16
 _PLACES = (1 << PLACE_BITS) - 1
 
 
-def _hashed(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds the k-gram hashes of a string column as array ``out``; a short text is one k-gram, an empty one none.
+def _minima(df: DataFrame, text: str, out: str, offset: Column) -> DataFrame:
+    """Adds ``out``: for each place of ``text`` the least (hash, counted-down place) of the window that starts there, cut at the end.
 
-    The text is cut into code points once; four neighbours share a hash, and the gram's hash rolls on over four of these.
+    A text below ``K`` characters is one k-gram, an empty one none.  The expression walks by code points.
     """
-    df = df.withColumn("_c", F.when(F.char_length(text) >= K, F.split(F.col(text), "")))
-    next_ = lambda name, step: lambda x, i: F.xxhash64(x, *(F.get(F.col(name), i + step * j) for j in range(1, 4)))
-    df = df.withColumn("_q", F.transform("_c", next_("_c", 1))).withColumn("_q", F.transform("_q", next_("_q", 4)))
-    return df.withColumn(out, F.when(F.col(text) == "", F.array().cast("array<bigint>")).when(F.char_length(text) < K, F.array(F.xxhash64(text)))
-                         .otherwise(F.slice("_q", F.lit(1), F.size("_q") - (K - 1)))).drop("_c", "_q")
-
-
-def _minima(df: DataFrame, hashes: str, out: str, offset: Column) -> DataFrame:
-    """Adds ``out``: for each place the least (hash, counted-down place) of the window that starts there, cut at the end."""
     start = F.lit(_PLACES) - offset.cast("bigint")
     top = F.lit(((1 << 63) - 1) ^ _PLACES)
-    df = df.withColumn(out, F.transform(F.col(hashes), lambda h, i: h.bitwiseAND(top).bitwiseOR((start - i).bitwiseAND(F.lit(_PLACES)))))
-
-    def least(step: int, ways: int):
-        return lambda x, i: F.least(x, *(F.get(F.col(out), i + step * j) for j in range(1, ways)))
-
-    for step, ways in ((1, 4), (4, 4), (16, 2)):  # least of 4, of 16 and of W values
-        df = df.withColumn(out, F.transform(F.col(out), least(step, ways)))
+    value = lambda gram, i: F.xxhash64(gram).bitwiseAND(top).bitwiseOR((start - i).bitwiseAND(F.lit(_PLACES)))
+    grams = F.when(F.char_length(text) >= K, F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{K}}}))."), F.lit(1))).when(
+        F.char_length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>"))
+    df = df.withColumn(out, F.transform(grams, value))
+    for step in (1, 2, 4, 8, 16):  # least of 2, 4, 8, 16 and of W values
+        ahead = F.slice(out, F.lit(1 + step), F.greatest(F.size(out) - step, F.lit(0)))
+        df = df.withColumn(out, F.zip_with(F.col(out), ahead, lambda x, y: F.least(x, y)))
     return df
 
 
 def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``: selected values of ``text`` in order of place; see ``places`` and ``hashes_of``."""
-    df = _minima(_hashed(df, text, "_h"), "_h", "_m", F.lit(0))
+    df = _minima(df, text, "_m", F.lit(0))
     windows = F.greatest(F.size("_m") - (W - 1), F.lit(1))
-    return df.withColumn(out, F.array_distinct(F.slice("_m", F.lit(1), windows))).drop("_h")
+    return df.withColumn(out, F.array_distinct(F.slice("_m", F.lit(1), windows)))
 
 
 def hashes_of(selected: Column) -> Column:
@@ -128,7 +119,7 @@ def fingerprint_edits(docs: DataFrame, text_col: str = "text", id_col: str = "do
     made = made.withColumn("_keep", keep).withColumn("edited", F.concat("_head", "_add"))
     made = made.withColumn("_tail", F.when(long, F.concat(F.right("_head", F.lit(reach)), F.col("_add"))).otherwise(F.col("edited")))
     made = made.withColumn("_first", F.slice("_m", F.lit(1), F.greatest(F.col("_keep"), F.lit(1)))).withColumn("_first", F.when(F.col("_keep") > 0, F.array_distinct("_first")).otherwise(F.array().cast("array<bigint>"))).drop("_m")
-    made = _minima(_hashed(made, "_tail", "_h"), "_h", "_m", F.col("_keep")).drop("_h")
+    made = _minima(made, "_tail", "_m", F.col("_keep"))
     windows = F.greatest(F.size("_m") - (W - 1), F.when(F.col("_keep") > 0, F.lit(0)).otherwise(F.lit(1)))
     made = made.withColumn("edit", F.array_distinct(F.concat("_first", F.slice("_m", F.lit(1), windows))))
     return made.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "text", "edited", "own", "edit", "following")

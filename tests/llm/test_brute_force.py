@@ -2,8 +2,6 @@
 
 import collections
 import math
-import re
-import struct
 import zlib
 
 import numpy as np
@@ -15,26 +13,11 @@ from sourceloom.llm.kernels import mixed
 from sourceloom.llm.language_model import hmm_scores
 from pyspark.sql import functions as F
 
-M64 = (1 << 64) - 1
-
-
-def chained(values):
-    """Spark's xxhash64 of several columns: the hash so far is the next one's seed."""
-    h = 42
-    for v in values:
-        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<Q", v & M64), h)
-    return h
-
-
 def selected(text):
     """(place, kept bits of the hash) of the winnowed grams, rightmost of equals."""
     if not text:
         return []
-    if len(text) < fp.K:
-        grams = [chained([text])]
-    else:
-        quarter = [chained(text[i:i + 4]) for i in range(len(text) - 3)]
-        grams = [chained([quarter[i + 4 * j] for j in range(4)]) for i in range(len(text) - fp.K + 1)]
+    grams = [xxhash.xxh64_intdigest(text[i:i + fp.K].encode(), 42) for i in range(max(len(text) - fp.K + 1, 1))]
     top = [(g & ((1 << 63) - 1)) >> fp.PLACE_BITS for g in grams]
     out = []
     for i in range(max(len(top) - fp.W + 1, 1)):
