@@ -18,7 +18,7 @@ STATES, ROUNDS, ALIKE = 4, 3, 3.0
 #: differ by their counts, which come by a join.
 TABLE_WORDS = 1 << 19
 #: Tokens handled together, padding included.
-GROUP_TOKENS = 200_000
+GROUP_TOKENS = 600_000
 #: Stands for the end of a text among word hashes.
 END = np.uint64(0x7E57E0D)
 
@@ -80,44 +80,50 @@ def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np
     ids = batch.column("ids")
     flat, size = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     edge = np.append(0, np.cumsum(size))
-    for a, b in steps(edge, 2 * GROUP_TOKENS):
+    for a, b in steps(edge, GROUP_TOKENS):
         yield a, b, flat[edge[a]:edge[b]], size[a:b]
 
 
 class _Model:
     def __init__(self, spec: dict) -> None:
         self.start, self.move, self.emit = spec["start"], spec["move"], spec["emit"]
+        self.ones = np.ones(len(self.start))
 
     def groups(self, ranks: np.ndarray, n: np.ndarray):
-        """Rows of like lengths together: row numbers, lengths and padded ranks."""
+        """Rows of like lengths together, the longest first: row numbers, lengths, and ranks by step and row, padded behind."""
         order, first = np.argsort(-n, kind="stable"), np.cumsum(n) - n
         at = 0
         while at < len(order):
             size = max(1, GROUP_TOKENS // int(n[order[at]]))
             rows = order[at:at + size]
             length = n[rows]
-            inside = np.arange(length[0])[None, :] < length[:, None]
+            inside = np.arange(length[0])[:, None] < length[None, :]
+            step, row = np.nonzero(inside)
             padded = np.zeros(inside.shape, np.int64)
-            source = np.repeat(first[rows], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-            padded[inside] = ranks[source]
+            padded[step, row] = ranks[first[rows][row] + step]
             yield rows, length, inside, padded
             at += size
 
     def forward(self, length: np.ndarray, padded: np.ndarray):
         """Scaled forward variables, their scales, emissions, and how many rows reach each step."""
-        b = self.emit.T[padded]
+        b = np.ascontiguousarray(self.emit.T)[padded]
         alpha, scale = np.zeros_like(b), np.ones(padded.shape)
-        live = [int(np.searchsorted(-length, -t, "left")) for t in range(padded.shape[1])]
-        a = self.start * b[:, 0]
-        for t in range(padded.shape[1]):
+        live = np.searchsorted(-length, -np.arange(len(padded)), "left")
+        a = self.start * b[0]
+        for t in range(len(padded)):
             m = live[t]
             if t:
-                a = (alpha[:m, t - 1] @ self.move) * b[:m, t]
-            scale[:m, t] = s = a.sum(1)
-            alpha[:m, t] = a / s[:, None]
+                a = alpha[t - 1, :m] @ self.move
+                a *= b[t, :m]
+            scale[t, :m] = s = a @ self.ones
+            np.divide(a, s[:, None], out=alpha[t, :m])
         return alpha, scale, b, live
 
 
+def _states(k: int) -> list[str]:
+    return [f"s{j}" for j in range(k)]
+
+
 def _expected(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]:
     """Baum-Welch counts of a partition: starts, moves and emissions."""
     model = _Model(spec.value)
@@ -128,20 +134,23 @@ def _expected(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatc
             for _, length, inside, padded in model.groups(ranks, n):
                 alpha, scale, emit, live = model.forward(length, padded)
                 beta = np.ones_like(alpha)
-                for t in range(padded.shape[1] - 2, -1, -1):
+                back = np.ascontiguousarray(model.move.T)
+                for t in range(len(padded) - 2, -1, -1):
                     m = live[t + 1]
-                    right = emit[:m, t + 1] * beta[:m, t + 1] / scale[:m, t + 1, None]
-                    moves += alpha[:m, t].T @ right
-                    beta[:m, t] = right @ model.move.T
+                    right = emit[t + 1, :m] * beta[t + 1, :m]
+                    right /= scale[t + 1, :m, None]
+                    moves += alpha[t, :m].T @ right
+                    np.matmul(right, back, out=beta[t, :m])
                 gamma = alpha * beta
-                starts += gamma[:, 0].sum(0)
-                word, back = np.unique(padded[inside], return_inverse=True)
-                g = gamma[inside]
+                starts += gamma[0].sum(0)
+                flat, g = padded[inside], gamma[inside]
                 for j in range(k):
-                    emits[j, word] += np.bincount(back, weights=g[:, j], minlength=len(word))
-    values = np.concatenate([starts, (moves * model.move).ravel(), emits.ravel()])
-    slots = np.flatnonzero(values)
-    yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(values[slots])], names=["slot", "value"])
+                    emits[j] += np.bincount(flat, weights=g[:, j], minlength=w)
+    # One row per word with its states side by side; starts and moves have numbers below 0.
+    found = np.flatnonzero(emits.any(0))
+    numbers = np.concatenate([found, -1 - np.arange(k + 1)])
+    values = np.vstack([emits[:, found].T, starts, moves * model.move])
+    yield pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int32)), *(pa.array(values[:, j]) for j in range(k))], names=["word", *_states(k)])
 
 
 def _scored(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]:
@@ -151,7 +160,7 @@ def _scored(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]
         for a, b, ranks, n in _sequences(batch):
             value = np.zeros(b - a)
             for rows, length, _, padded in model.groups(ranks, n):
-                value[rows] = np.log10(model.forward(length, padded)[1]).sum(1)
+                value[rows] = np.log10(model.forward(length, padded)[1]).sum(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), pa.array(n), pa.array(value)], names=[*keep, "n_tokens", "value"])
 
 
@@ -181,8 +190,10 @@ def hmm_scores(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     rest_mass = float(n_all - c.sum() + (n_words - own) + 1)
     table = spark.sparkContext.broadcast((h[order], c[order], order.astype(np.int32)))
     named = base.withColumn("_row", F.xxhash64("doc_id", "_text"))
-    texts = store(named.mapInArrow(partial(_encoded, table=table), "_row bigint, doc_id bigint, held_out boolean, known bigint, logs double, "
-                                   "ids array<int>, rest array<bigint>"), "ranked-texts")
+    texts = named.mapInArrow(partial(_encoded, table=table), "_row bigint, doc_id bigint, held_out boolean, known bigint, logs double, "
+                             "ids array<int>, rest array<bigint>")
+    # Texts of like lengths stand together, so that the recursions step through many of them at once.
+    texts = store(texts.sortWithinPartitions(F.desc(F.size("ids"))), "ranked-texts")
 
     # The start: word frequencies, tilted per state by a hash so that the states can part.
     share = np.append(c + 1.0, rest_mass)
@@ -192,12 +203,13 @@ def hmm_scores(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     spec = {"start": np.full(STATES, 1 / STATES), "move": np.full((STATES, STATES), 0.1 / STATES) + np.eye(STATES) * 0.9, "emit": emit / emit.sum(1, keepdims=True)}
     for _ in range(ROUNDS if n_all else 0):
         shared = spark.sparkContext.broadcast(spec)
-        parts = texts.where("NOT held_out").select("ids").mapInArrow(partial(_expected, spec=shared), "slot bigint, value double")
-        summed = parts.groupBy("slot").agg(F.sum("value").alias("value")).toArrow()  # one row per parameter
-        sums = np.zeros(STATES + STATES * STATES + STATES * (own + 1))
-        sums[summed.column("slot").to_numpy()] = summed.column("value").to_numpy()
-        start, move, emit = np.split(sums, [STATES, STATES + STATES * STATES])
-        move, emit = move.reshape(STATES, STATES) + 0.1, emit.reshape(STATES, -1)
+        names = _states(STATES)
+        parts = texts.where("NOT held_out").select("ids").mapInArrow(partial(_expected, spec=shared), ", ".join(["word int", *(f"{s} double" for s in names)]))
+        summed = parts.groupBy("word").agg(*(F.sum(s).alias(s) for s in names)).toArrow()  # one row per word of the table
+        word, sums = summed.column("word").to_numpy(), np.zeros((STATES, own + 2 + STATES))
+        for j, s in enumerate(names):
+            sums[j, word] = summed.column(s).to_numpy()  # numbers below 0 count from the end
+        start, move, emit = sums[:, -1], sums[:, -2:-2 - STATES:-1].T + 0.1, sums[:, :own + 1]
         # A rare word's states are drawn towards those of all words; its frequency stays.
         held = emit.sum(0)
         mass = emit.sum(1, keepdims=True) + 1e-9
