@@ -28,12 +28,14 @@ STATEMENT_WORDS = {
     "c": r"(?:return|else|case|do|goto|sizeof)",
     "cpp": r"(?:new|return|throw|else|case|do|goto|using|delete|co_await|co_yield|co_return)",
 }
+# Modifier words that are reported.
 RUST_MODIFIERS = ("async", "unsafe", "const", "extern")
 JAVA_MODIFIERS = ("public", "private", "protected", "static", "final", "abstract", "synchronized", "native")
 C_MODIFIERS = ("static", "extern", "inline")
 CPP_MODIFIERS = ("static", "extern", "inline", "virtual")
 
-_SQUARE = P.nested(r"\[", r"\]", r"[^\[\]]++", 3)
+_SQUARE = P.nested(r"\[", r"\]", r"[^\[\]]++", P.ATOM_DEPTH)
+_CURLY = P.nested(r"\{", r"\}", r"[^{}]++", P.ATOM_DEPTH)
 _ANNOTATION = rf"@(?! ?interface\b) ?[\w.$]++(?: ?{PARENS})?"
 _C_NOISE = rf"\[\[[^\]]*+\]\]|\b(?:__attribute__|__declspec|alignas|__asm__|explicit) ?{PARENS}"
 _JAVA_TYPE = r"[\p{L}\p{N}_.$?,&<>\[\] ]*?"
@@ -177,7 +179,7 @@ def parameters(clean: Column, lang: str) -> Column:
 def split_parameters(params: Column, lang: str) -> Column:
     """Entries between the commas of the outermost level, trimmed."""
     inner = F.substring(params, F.lit(2), F.greatest(F.length(params) - 2, F.lit(0)))
-    groups = [PARENS, _SQUARE, P.nested(r"\{", r"\}", r"[^{}]++", 3)]
+    groups = [PARENS, _SQUARE, _CURLY]
     if lang in ("java", "rust", "cpp"):
         groups.append(ANGLES)
     pattern = rf"(?:{'|'.join(groups)}|[^,()\[\]{{}}<]|[()\[\]{{}}<])++"

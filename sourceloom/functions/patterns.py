@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import re
 
-# How deep brackets may nest inside one bracket atom, and how many lexemes one
-# level may hold.  Anything beyond is still lexed, one bracket at a time.
-ATOM_DEPTH = 6
-ATOM_WIDTH = 2048
+# How deep brackets may nest inside one bracket atom, angle brackets in a type, and
+# block comments in Rust.  Deeper brackets are still lexed, one at a time.
+ATOM_DEPTH = 16
+ANGLE_DEPTH = 12
+COMMENT_DEPTH = 8
 
 WORD = r"[\p{L}\p{N}_]"
 NAME = r"[\p{L}_$][\p{L}\p{N}_$]*+"
@@ -24,8 +25,15 @@ SINGLE_QUOTED = r"'(?:[^'\\\n]++|\\(?s:.))++'"
 TRIPLE_DOUBLE = r'"""(?:[^"\\]++|\\(?s:.)|"(?!""))*+"""'
 TRIPLE_SINGLE = r"'''(?:[^'\\]++|\\(?s:.)|'(?!''))*+'''"
 PREPROCESSOR = r"#(?:[^\n\\/]++|\\(?s:.)|/\*(?s:.*?)\*/|/)*+"
-# Rust block comments nest; three levels are spelled out.
-NESTED_COMMENT = r"/\*(?:[^*/]++|\*(?!/)|/(?!\*)|/\*(?:[^*/]++|\*(?!/)|/(?!\*)|/\*(?s:.*?)\*/)*+\*/)*+\*/"
+
+
+def nested_comment(depth: int = COMMENT_DEPTH) -> str:
+    """One Rust block comment with the block comments inside it."""
+    inner = nested_comment(depth - 1) if depth else r"(?!)"
+    return rf"/\*(?:[^*/]++|\*(?!/)|/(?!\*)|{inner})*+\*/"
+
+
+NESTED_COMMENT = nested_comment()
 
 LANGUAGES = ("python", "rust", "go", "java", "c", "cpp")
 BRACE_LANGUAGES = ("rust", "go", "java", "c", "cpp")
@@ -67,7 +75,7 @@ def _plain(lang: str, excluded: str) -> str:
 
 def _specials(lang: str) -> str:
     """Characters that may begin a lexeme other than plain text, for a class."""
-    return {"python": r"\"'#", "go": r"\"'/`", "c": r"\"'/#", "cpp": r"\"'/#"}.get(lang, r"\"'/")
+    return {"python": r"\"'#", "go": r"\"'/`", "java": r"\"'/@", "c": r"\"'/#", "cpp": r"\"'/#"}.get(lang, r"\"'/")
 
 
 def bracket_atom(lang: str, tag: str = "a", depth: int = ATOM_DEPTH) -> str:
@@ -75,19 +83,35 @@ def bracket_atom(lang: str, tag: str = "a", depth: int = ATOM_DEPTH) -> str:
     inner = bracket_atom(lang, tag, depth - 1) if depth else r"(?!)"
     level = f"{tag}{depth}"
     parts = [comments(lang), literals(lang, level), inner]
+    if lang == "java" and depth == ATOM_DEPTH:
+        parts.append(annotation_atom(f"{tag}n"))
+    if lang == "go" and depth >= ATOM_DEPTH - 1:  # a type with methods or fields, written out
+        parts.append(rf"(?<=(?:interface|struct)\s{{0,4}}){any_brackets(lang, f'{level}t', chr(92) + '{', 4)}")
     if lang == "python":
         parts.append(_plain(lang, r"()\[\]{}" + _specials(lang)))
         opening, closing = r"[(\[{]", r"[)\]}]"
     else:
         # A brace group without calls or statements: annotation arrays, empty types.
-        flat = rf"\{{(?:{comments(lang)}|{literals(lang, level + 'f')}|{_plain(lang, '(){};' + _specials(lang))}|/)*+\}}"
-        parts += [flat, _plain(lang, r"()\[\]{}" + _specials(lang)), r"/"]
+        flat = rf"\{{(?:{comments(lang)}|{literals(lang, level + 'f')}|{_plain(lang, '(){};' + _specials(lang))}|[/@])*+\}}"
+        parts += [flat, _plain(lang, r"()\[\]{}" + _specials(lang)), r"[/@]"]
         if lang in ("c", "cpp"):
             parts.append(PREPROCESSOR)
         if lang == "rust":
             parts.append("#")
         opening, closing = r"[(\[]", r"[)\]]"
-    return rf"{opening}(?:{'|'.join(parts)}){{0,{ATOM_WIDTH}}}+{closing}"
+    return rf"{opening}(?:{'|'.join(parts)})*+{closing}"
+
+
+def any_brackets(lang: str, tag: str, opening: str = r"[(\[{]", depth: int = ATOM_DEPTH) -> str:
+    """A balanced group of brackets of all kinds, for places that hold no statement."""
+    inner = any_brackets(lang, tag, depth=depth - 1) if depth else r"(?!)"
+    plain = _plain(lang, r"()\[\]{}" + _specials(lang))
+    return rf"{opening}(?:{comments(lang)}|{literals(lang, f'{tag}{depth}')}|{plain}|[/@]|{inner})*+[)\]}}]"
+
+
+def annotation_atom(tag: str = "n") -> str:
+    """A Java annotation with its arguments."""
+    return rf"@(?!\s*+interface\b)\s*+[\w$]++(?:\s*+\.\s*+[\w$]++)*+\s*+{any_brackets('java', tag)}"
 
 
 def piece_lexer(lang: str) -> str:
@@ -116,6 +140,8 @@ def piece_lexer(lang: str) -> str:
         ])
         return rf"(?:{unit})++(?:[{{}};]|{ended}{line_end}|\z)|[{{}};]|{ended}{line_end}|(?s:.)"
     unit = [comments(lang), literals(lang, "x"), atom]
+    if lang == "java":
+        unit.insert(2, annotation_atom())
     if lang == "cpp":
         # Brace initialisers glued to a name: ``total{0}`` or ``: a{}, b{} {``.
         filler = rf"{comments(lang)}|{literals(lang, 'i')}|{bracket_atom(lang, 'j', 2)}|{_plain(lang, '()' + r'\[\]' + '{};' + _specials(lang))}|/"
@@ -159,7 +185,7 @@ def nested(opening: str, closing: str, filler: str, depth: int) -> str:
 
 # Patterns over a *skeleton*: comment-free, literal-free, blank-collapsed text.
 PARENS = nested(r"\(", r"\)", r"[^()]++", ATOM_DEPTH)
-ANGLES = nested("<", ">", rf"->|[^<>()\-]++|-|{PARENS}", 4)
+ANGLES = nested("<", ">", rf"->|[^<>()\-]++|-|{PARENS}", ANGLE_DEPTH)
 
 
 def lead(lang: str) -> str:
