@@ -63,12 +63,12 @@ def read_collection(spark: SparkSession, place: str) -> DataFrame:
     return spark.read.parquet(place)
 
 
-def newest(batch: DataFrame, key: str = "id", latest: Sequence[str] = ()) -> DataFrame:
+def newest(batch: DataFrame, key: str | Sequence[str] = "id", latest: Sequence[str] = ()) -> DataFrame:
     """One row per key: the greatest by the ``latest`` columns, then by the others; map columns are not compared."""
     others = [f.name for f in batch.schema.fields if f.name not in latest and f.dataType.typeName() != "map"]
     order = F.struct(*(F.col(f"`{c}`") for c in (*latest, *others)))
     row = F.struct(*(F.col(f"`{c}`") for c in batch.columns))
-    return batch.groupBy(key).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+    return batch.groupBy(*([key] if isinstance(key, str) else key)).agg(F.max_by(row, order).alias("_row")).select("_row.*")
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: str = "id", latest: Sequence[str] = ()) -> DataFrame:

@@ -129,7 +129,7 @@ impl<'a> Sized for Part«k»<'a> {
 
 trait Shape { fn area(&self) -> f64; fn twice(&self) -> f64 { self.area() * 2.0 } }
 
-// plain note
+/* plain /* a /* b /* c /* fn d() { */ */ } */ */ note */
 pub(crate) extern "C" fn free_«k»(size: [u8; 4]) -> u8 { size[0] }
 '''
 FACTS["rust"] = [

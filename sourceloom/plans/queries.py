@@ -11,9 +11,11 @@ from sourceloom.operators import collection as C, embed as E, enrich, incrementa
 from sourceloom.operators.blocks import syntax_health
 from sourceloom.operators.chunks import class_edges, extract_functions
 from sourceloom.plans import corpus as R
-from sourceloom.sources.scan import files_from_table
+from sourceloom.operators.snapshots import Snapshots
+from sourceloom.sources.scan import files_from_table, scan_corpus
 from sourceloom.sources.shared import shared_folder, spread, stored
 from sourceloom.streaming.ingest import ingest
+from sourceloom.streaming.sync import chunks_of, sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,6 +148,36 @@ def table_files(spark, sf_dir):
     return files_from_table(rendered, "place", "body", "repo").select("path", "language", F.md5("text").alias("digest"))
 
 
+def _placed(frames):
+    """Writes ``(uri, content)`` rows as files."""
+    from pyarrow import fs as arrow_fs
+
+    for frame in frames:
+        for uri, content in zip(frame.uri, frame.content):
+            store, place = arrow_fs.FileSystem.from_uri(uri)
+            store.create_dir(place.rpartition("/")[0])
+            with store.open_output_stream(place) as out:
+                out.write(content)
+        yield frame[["uri"]]
+
+
+# Every tenth file lies in a folder that Spark's own listing skips.
+TREE_PATH = f"CASE WHEN p_partkey % 10 = 1 AND {R.VARIANT} NOT IN (4, 5) THEN concat('src/_in/', {R.path_sql()}) ELSE {R.path_sql()} END"
+
+
+@query("scan_directory", f"""
+SELECT {TREE_PATH} AS path, {LANGUAGE_SQL} AS language, md5(replace({R.raw_text_sql()}, concat(chr(13), chr(10)), chr(10))) AS digest
+FROM part WHERE {KEPT} AND p_partkey % 6 IN (0, 3, 5)""")
+def scan_directory(spark, sf_dir):
+    """The corpus written as a tree of files, then scanned with ignore rules, hidden folders included."""
+    root = shared_folder(spark, "tree")
+    rendered = table(spark, sf_dir, "part").select(F.expr(TREE_PATH).alias("path"), F.encode(F.expr(R.raw_text_sql()), "UTF-8").alias("content"))
+    rules = spark.createDataFrame([(".rules", "\n".join(R.IGNORE_RULES).encode())], "path string, content binary")
+    uri = F.concat(F.lit(root if ":" in root.split("/")[0] else f"file:{root}"), F.lit("/"), "path").alias("uri")
+    rendered.unionByName(rules).select(uri, "content").mapInPandas(_placed, "uri string").count()
+    return scan_corpus(spark, root, ["python", "java", "cpp"], ".rules").select("path", "language", F.md5("text").alias("digest"))
+
+
 @query("syntax_gate", f"""
 SELECT {R.path_sql()} AS path, CASE WHEN {R.VARIANT} = 3 THEN 'unbalanced brackets' END AS reason
 FROM part WHERE {KEPT}""")
@@ -441,6 +473,22 @@ def nearest_points(spark, sf_dir):
     return top.select("vec_id", F.round("score", 6).alias("score"))
 
 
+@query("nearest_many", """
+WITH flat AS (SELECT vec_id % 100 AS g, label, unnest(range(len(embedding))) AS pos, cast(unnest(embedding) as double) AS v FROM embeddings),
+q AS (SELECT g, list(m ORDER BY pos) AS q FROM (SELECT g, pos, avg(v) AS m FROM flat GROUP BY g, pos) GROUP BY g),
+s AS (SELECT g, vec_id, round(list_cosine_similarity(cast(embedding as double[]), q), 9) AS s
+  FROM embeddings JOIN q ON label >= g % 7 AND label < g % 7 + 4 WHERE vec_id % 100 <> 13),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY s DESC, vec_id) AS rank FROM s)
+SELECT g AS query_id, rank::BIGINT AS rank, vec_id AS id, round(s, 6) AS score FROM r WHERE rank <= 10""")
+def nearest_many(spark, sf_dir):
+    """A hundred queries, each with a range of labels of its own."""
+    points = table(spark, sf_dir, "embeddings")
+    asked = E.mean_pool(points.withColumn("query_id", F.col("vec_id") % 100), ["query_id"]).withColumnRenamed("embedding", "query")
+    asked = asked.withColumn("low", F.col("query_id") % 7).withColumn("below", F.col("query_id") % 7 + 4)
+    top = E.nearest_many(points, asked, 10, [("label", ">=", "low"), ("label", "<", "below")], where=F.col("vec_id") % 100 != 13)
+    return top.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id", F.round("score", 6).alias("score"))
+
+
 # ---- points and collections -------------------------------------------------
 
 ID_COLUMNS = ("file_path", "name", "start_line", "start_column")
@@ -483,6 +531,23 @@ def upsert(spark, sf_dir):
     return C.upsert(rows, updates.unionByName(inserts))
 
 
+@query("upsert_snapshot", """
+SELECT p_partkey AS id, p_name AS name, cast(p_size as bigint) AS size, p_partkey % 3 = 0 AND p_partkey <= 40 AS fresh
+FROM part WHERE p_partkey NOT BETWEEN 41 AND 60
+UNION ALL SELECT p_partkey + 10000000, upper(p_name), cast(0 as bigint), true FROM part WHERE p_size = 7""")
+def upsert_snapshot(spark, sf_dir):
+    """A collection in versions: an upsert of few keys, new keys, and a deletion; the fresh rows are told by their mark."""
+    kept = Snapshots(spark, shared_folder(spark, "snapshots"))
+    rows = _part_rows(spark, sf_dir).withColumn("fresh", F.lit(False))
+    kept.write(rows, files=16)
+    changed = rows.where("id % 3 = 0 AND id <= 40").withColumn("fresh", F.lit(True))
+    new = rows.where("size = 7").select((F.col("id") + 10_000_000).alias("id"), F.upper("name").alias("name"), F.lit(0).cast("bigint").alias("size"),
+                                        F.lit(True).alias("fresh"))
+    kept.upsert(changed.unionByName(changed).unionByName(new))
+    kept.replace(rows.where("id BETWEEN 41 AND 60"), rows.limit(0))
+    return flat(kept.read().select("id", "name", "size", "fresh"))
+
+
 @query("collection_roundtrip", f"""
 SELECT file_path, name, start_line, language FROM ({expected("file_path", "name", "start_line", "language")})""")
 def collection_roundtrip(spark, sf_dir):
@@ -582,6 +647,19 @@ def stream_ingest(spark, sf_dir):
     return flat(spark.read.parquet(f"{sink}/chunks").select("file_path", "name", "start_line", "end_line"))
 
 
+@query("corpus_sync", f"SELECT file_path, name, start_line, end_line FROM ({expected('file_path', 'name', 'start_line', 'end_line')})")
+def corpus_sync(spark, sf_dir):
+    """A collection kept in step: of its first files some are rewritten, some go, and others come."""
+    files = corpus_files(spark, sf_dir)
+    lot = F.pmod(F.crc32("path"), F.lit(7))
+    early = files.where(lot != 0).withColumn("text", F.when(lot == 1, F.concat(F.lit("\n"), "text")).otherwise(F.col("text")))
+    gone = files.where(lot == 2).withColumn("path", F.concat(F.lit("old/"), "path"))
+    place = shared_folder(spark, "sync")
+    sync(spark, early.unionByName(gone), place)
+    sync(spark, files, place)
+    return flat(chunks_of(spark, place).read().select("file_path", "name", "start_line", "end_line"))
+
+
 @query("chunk_report", f"""
 SELECT language, count(*) AS functions, cast(sum(loc) as bigint) AS loc, cast(sum(comment_lines) as bigint) AS comment_lines,
   cast(sum(complexity) as bigint) AS complexity, cast(sum(end_line - start_line + 1) as bigint) AS lines

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sourceloom.functions.paths import SUFFIX_GLOB, is_ignored, language_of
 from sourceloom.functions.text import normalize_newlines
 from sourceloom.operators.predicates import decoded, is_binary, is_text
+from sourceloom.sources.shared import stored
 
 
-def _filesystem(spark: SparkSession, place: str):
+def filesystem(spark: SparkSession, place: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(place)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
@@ -24,7 +25,7 @@ def ignore_patterns(spark: SparkSession, root: str, ignore_file: str | None) ->
     """
     if ignore_file is None:
         return []
-    fs, path = _filesystem(spark, f"{root.rstrip('/')}/{ignore_file}")
+    fs, path = filesystem(spark, f"{root.rstrip('/')}/{ignore_file}")
     if not fs.exists(path):
         return []
     stream = fs.open(path)
@@ -36,7 +37,7 @@ def ignore_patterns(spark: SparkSession, root: str, ignore_file: str | None) ->
 
 def base_path(spark: SparkSession, root: str) -> str:
     """Path of the root without scheme and authority."""
-    fs, path = _filesystem(spark, root)
+    fs, path = filesystem(spark, root)
     return fs.makeQualified(path).toUri().getPath().rstrip("/")
 
 
@@ -54,34 +55,42 @@ def wanted(relative: Column, patterns: Sequence[str], languages: Sequence[str] |
     return chosen & ~is_ignored(relative, patterns)
 
 
-def _unlisted(spark: SparkSession, root: str, base: str) -> DataFrame:
-    """``(uri, path)`` of files Spark's listing skips: a segment starts with ``.``, or with ``_`` and holds no ``=``.
+def _entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What stands directly in each folder."""
+    from pyarrow import fs as arrow_fs
 
-    ``__init__.py`` is one of them.  The first-level entries are listed here; the
-    trees below them are walked inside tasks, one entry each.
-    """
-    fs, path = _filesystem(spark, root)
-    if not fs.exists(path):
-        return spark.createDataFrame([], "uri string, path string")
-    entries = [(s.getPath().toString(), bool(s.isDirectory())) for s in fs.listStatus(path)]
-    if not entries:
-        return spark.createDataFrame([], "uri string, path string")
+    for frame in frames:
+        for uri, below in zip(frame.uri, frame.path):
+            store, place = arrow_fs.FileSystem.from_uri(uri)
+            prefix = uri[:len(uri) - len(place)]
+            found = [i for i in store.get_file_info(arrow_fs.FileSelector(place)) if i.type in (arrow_fs.FileType.File, arrow_fs.FileType.Directory)]
+            yield pd.DataFrame([(prefix + i.path, f"{below}/{i.base_name}" if below else i.base_name, i.type == arrow_fs.FileType.Directory) for i in found],
+                               columns=["uri", "path", "folder"])
 
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as arrow_fs
 
-        for frame in frames:
-            for uri, is_dir in zip(frame.uri, frame.is_dir):
-                store, place = arrow_fs.FileSystem.from_uri(uri)
-                selector = arrow_fs.FileSelector(place, recursive=True) if is_dir else [place]
-                prefix = uri[:len(uri) - len(place)]
-                found = [i.path for i in store.get_file_info(selector) if i.type == arrow_fs.FileType.File]
-                below = [p[p.index(base) + len(base) + 1:] for p in found]
-                kept = [(prefix + p, r) for p, r in zip(found, below) if any(s[:1] == "." or s[:1] == "_" and "=" not in s for s in r.split("/"))]
-                yield pd.DataFrame(kept, columns=["uri", "path"])
+def list_tree(spark: SparkSession, root: str, patterns: Sequence[str] = (), languages: Sequence[str] | None = None) -> DataFrame:
+    """``(uri, path)`` of the wanted files below a folder, names that start with ``_`` or ``.`` included.
 
-    listed = spark.createDataFrame(entries, "uri string, is_dir boolean").repartition(min(len(entries), 256))
-    return listed.mapInPandas(walk, "uri string, path string")
+    A frontier of folders is a table; each round its folders are dealt over all tasks and listed one level deep, files and folders
+    that no rule can want leave at once, and the folders found are the next frontier.  So one deep tree is split at every level, and the
+    rounds are as many as the tree is deep.  Each round is stored, so a lost executor repeats one round's listing at most.
+    """
+    fs, path = filesystem(spark, root)
+    schema = "uri string, path string, folder boolean"
+    if not fs.exists(path):
+        return spark.createDataFrame([], schema).drop("folder")
+    frontier = spark.createDataFrame([(fs.makeQualified(path).toString(), "", True)], schema)
+    found = None
+    while True:
+        level = frontier.repartition(spark.sparkContext.defaultParallelism, "uri").select("uri", "path").mapInPandas(_entries, schema)
+        # A folder goes only if a rule excludes all below it and no rule takes paths back in.
+        pruned = F.lit(False) if any(p.startswith("!") for p in patterns) else is_ignored(F.concat("path", F.lit("/.~any~name~")), [p for p in patterns if "*" not in p])
+        level = stored(level.where(F.when(F.col("folder"), ~pruned).otherwise(wanted(F.col("path"), patterns, languages))), "listing")
+        files = level.where("NOT folder").drop("folder")
+        found = files if found is None else found.unionByName(files)
+        frontier = level.where("folder")
+        if frontier.isEmpty():
+            return found
 
 
 def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,7 +124,8 @@ def list_corpus(
     relative = relative_path(F.col("_metadata.file_path"), base)
     seen = raw.where(wanted(relative, patterns, languages)).select(
         relative.alias("path"), language_of(relative).alias("language"), "content", "length", "modificationTime")
-    unseen = _unlisted(spark, root, base).where(wanted(F.col("path"), patterns, languages)).withColumn("language", language_of(F.col("path")))
+    hidden = F.exists(F.split("path", "/"), lambda s: s.startswith(".") | (s.startswith("_") & ~s.contains("=")))
+    unseen = list_tree(spark, root, patterns, languages).where(hidden).withColumn("language", language_of(F.col("path")))
     spread = unseen.repartition(spark.sparkContext.defaultParallelism, "path")
     return seen.unionByName(spread.mapInPandas(_read, seen.schema))
 

@@ -179,3 +179,20 @@ def test_unset_and_empty_inputs(spark, extract):
     assert extract("python", "# only a comment") == []
     with pytest.raises(ValueError):
         extract("java", "", on_error="ignore")
+
+
+@pytest.mark.parametrize("language, text, found", [
+    ("java", 'class A {\n  @JoinTable(joinColumns = {@JoinColumn(name="a")}, inverse = {@X({@Y({1, 2}), @Y({3})})})\n'
+             '  public int getX(@P({@Q("a;{")}) int v) { return run(new R() { public void go() { a(); } }); }\n  int y() { return 1; }\n}\n',
+     [("getX", ["v"], 2, 3), ("go", [], 3, 3), ("y", [], 4, 4)]),
+    ("rust", "/* a /* b /* c /* d /* e /* fn no() { */ */ } */ */ */ */\nfn one(x: i32) -> i32 { x }\nfn two(y: Vec<Vec<Vec<Vec<Vec<Vec<u8>>>>>>, z: u8) {}\n",
+     [("one", ["x"], 2, 2), ("two", ["y", "z"], 3, 3)]),
+    ("cpp", "void f(A<B<C<D<E<F<G<int>>>>>>> x, int y) { }\nint g(int a = ((((((((((((1)))))))))))), int (*cb)(int)) { return 0; }\n",
+     [("f", ["x", "y"], 1, 1), ("g", ["a", "cb"], 2, 2)]),
+    ("python", 'def f(a=((((((((((((1)))))))))))), b: int, c={"x": [{"y": [{}]}]}):\n    return 1\ndef g(x): pass\n', [("f", ["a", "b", "c"], 1, 2), ("g", ["x"], 3, 3)]),
+    ("go", "package p\nfunc f(a map[string][]map[int]func(x [][]int) ([]int, error), b int) {}\nfunc g(x interface{ M(int) }) {}\n",
+     [("f", ["a", "b"], 2, 2), ("g", ["x"], 3, 3)]),
+    ("c", "int f(int (*a)(int (*)(int (*)(int))), int b) { return ((((((((((((1)))))))))))); }\n", [("f", ["a", "b"], 1, 1)]),
+])
+def test_deep_nesting(extract, language, text, found):
+    assert [(r["name"], r["arguments"], r["start_line"], r["end_line"]) for r in extract(language, text, columns=("name", "arguments", "start_line", "end_line", "start_column"))] == found
