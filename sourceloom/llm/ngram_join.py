@@ -193,7 +193,11 @@ class NgramJoin:
         """``id, label`` of every set that is linked with another one."""
         rows = self._texts().mapInArrow(partial(_prefixes, k=self.k, percent=self.percent, classes=self.classes), "key bigint, id bigint, n bigint, pos bigint")
         postings = store(rows, "ngram-prefixes")
-        shared = postings.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+        # Near copies share most of their keys, so most of their lists have the same members.  Of such lists the first key in the
+        # global order stands earliest in each member: its bounds let through every pair that the others would.
+        members = lambda seed: F.bit_xor(F.xxhash64("id", F.lit(seed)))
+        shared = postings.groupBy("key").agg(F.count("*").alias("m"), members(1).alias("s1"), members(2).alias("s2")).where("m > 1")
+        shared = shared.groupBy("m", "s1", "s2").agg(F.min("key").alias("key")).select("key", "m")
         lists = store(postings.join(shared.hint("merge"), "key"), "ngram-lists")
         short, long = lists.where(f"m <= {PLAIN_LIST}"), lists.where(f"m > {PLAIN_LIST}")
         plain = self._pairs(short.alias("x").join(short.alias("y"), F.expr(f"x.key = y.key AND x.id < y.id AND {self._near('x', 'y')}")), "x", "y")
@@ -210,7 +214,10 @@ class NgramJoin:
             placed = long.join(found, "id", "left").withColumn("label", F.coalesce("label", "id"))
             main = placed.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
                 F.max_by("label", "c").alias("main"), F.count("*").alias("labels")).where("labels > 1").select("key", "main")
-            open_ = placed.join(main, "key").where("label <> main").join(done, "id", "left_anti")
+            # Lists of one label have nothing left to compare, now or later.
+            placed = store(placed.join(main, "key"), "ngram-open")
+            long = placed.drop("label", "main")
+            open_ = placed.where("label <> main").join(done, "id", "left_anti")
             salted = open_.groupBy("key", F.pmod(F.xxhash64("id", F.lit("hub")), F.lit(wide)).alias("s")).agg(F.min("id").alias("id"))
             hubs = store(salted.select("id").distinct(), "hubs")
             if not hubs.limit(1).count():
@@ -224,6 +231,7 @@ class NgramJoin:
 
     def _against(self, placed: DataFrame, hubs: DataFrame) -> DataFrame:
         """Pairs of a hub and a member of one of its lists that no link has joined so far."""
+        placed = placed.drop("main")
         hub = placed.join(hubs, "id", "left_semi")
         return self._pairs(placed.alias("x").join(hub.alias("y"), F.expr(f"x.key = y.key AND x.label <> y.label AND {self._near('x', 'y')}")), "x", "y")
 
