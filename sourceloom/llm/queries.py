@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sourceloom.llm.decontaminate import contained_items
@@ -83,6 +82,8 @@ def op5_mix_sources(spark, sf_dir):
 @query("op7_token_counts")
 def op7_token_counts(spark, sf_dir):
     """Tokens of every text under a byte-level vocabulary."""
+    import public_tokenizers  # only this query needs it
+
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
