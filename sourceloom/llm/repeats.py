@@ -98,7 +98,12 @@ def _radix(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
         anchor, span, copies, windows, bodies = zip(*rows)
         anchor, span = np.array(anchor, np.int64), np.array(span, np.int64)
         body, place = _passes(list(bodies), anchor, np.array(copies, np.int64), np.array(windows, np.int64), window)
-        return pa.RecordBatch.from_arrays([pa.array(anchor[body]), pa.array(span[body]), pa.array(place.astype(np.int64))], names=["anchor", "span", "i"])
+        order = np.lexsort((place, body))
+        body, place = body[order], place[order]
+        head = np.flatnonzero(np.append(True, (body[1:] != body[:-1]) | (place[1:] != place[:-1] + 1))) if len(body) else body
+        last = np.append(head[1:], len(body)) - 1 if len(body) else body  # neighbouring windows leave as one range
+        return pa.RecordBatch.from_arrays([pa.array(anchor[body[head]]), pa.array(span[body[head]]), pa.array(place[head].astype(np.int64)),
+                                           pa.array(place[last].astype(np.int64))], names=["anchor", "span", "i", "j"])
 
     for batch in batches:
         for row in zip(*(batch.column(n).to_pylist() for n in ("anchor", "span", "copies", "windows", "body"))):
@@ -115,13 +120,15 @@ def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
     """Takes the byte ranges of ``_cuts`` out of each text."""
     for batch in batches:
         data, offsets = raw(batch.column("_text"))
+        lists = batch.column("_cuts")
+        bounds = lists.offsets.to_numpy()
+        starts, ends = (lists.values.field(n).to_numpy(zero_copy_only=False) for n in ("start", "end"))
         kept, removed, spans = [], [], []
-        for i, cuts in enumerate(batch.column("_cuts").to_pylist()):
-            text = data[int(offsets[i]):int(offsets[i + 1])]
-            edge = np.zeros(len(text) + 1, np.int64)
-            for c in cuts or ():
-                edge[min(c["start"], len(text))] += 1
-                edge[min(c["end"], len(text))] -= 1
+        for i in range(batch.num_rows):
+            text, mine = data[int(offsets[i]):int(offsets[i + 1])], slice(int(bounds[i]), int(bounds[i + 1]))
+            edge = np.zeros(len(text) + 1, np.int32)
+            np.add.at(edge, starts[mine], 1)
+            np.add.at(edge, ends[mine], -1)
             gone = np.cumsum(edge[:-1]) > 0
             kept.append(text[~gone].tobytes())
             removed.append(int(gone.sum()))
@@ -142,7 +149,7 @@ def _shared_radix(held: DataFrame, window: int) -> DataFrame:
     for p in range(len(key)):  # a suffix is carried as its number, not its bytes
         many = rows.groupBy(f"g{p}").agg(F.sum("copies").alias("size")).where("size > 1").select(f"g{p}")
         rows = store(rows.join(many, f"g{p}", "left_semi").drop(f"g{p}"), f"digit-{p}")
-    return rows.select("anchor", "span", "i")
+    return rows.select("anchor", "span", "i", F.col("i").alias("j"))
 
 
 def repeated_windows(texts: DataFrame, window: int = 200) -> DataFrame:
@@ -170,12 +177,13 @@ def repeated_windows(texts: DataFrame, window: int = 200) -> DataFrame:
     held = store(held.select("anchor", "span", "copies", "windows", body.alias("body")), "span-bodies")
     crowds = store(held.groupBy("anchor").agg(F.count("*").alias("n")).where(f"n > {ONE_TASK}").select("anchor"), "crowded-anchors")
     ordered = without(held, crowds, "anchor").repartition("anchor").sortWithinPartitions("anchor")
-    rows = ordered.mapInArrow(partial(_radix, window=window), "anchor bigint, span bigint, i bigint")
+    rows = ordered.mapInArrow(partial(_radix, window=window), "anchor bigint, span bigint, i bigint, j bigint")
     if crowds.limit(1).count():
         rows = rows.unionByName(_shared_radix(only(held, crowds, "anchor"), window))
-    hits = rows.groupBy("anchor", "span").agg(F.collect_set("i").alias("hits"))  # at most as many as a span has windows
-    partly = mixed_.join(hits, ["anchor", "span"]).select("doc", "start", F.explode("hits").alias("i"))
-    return same.unionByName(partly.select("doc", (F.col("start") + F.col("i")).alias("start"), (F.col("start") + F.col("i") + window).alias("end")))
+    # A span has at most ``window - ANCHOR + 1`` windows, so its ranges are few.
+    hits = rows.groupBy("anchor", "span").agg(F.collect_set(F.struct("i", "j")).alias("hits"))
+    partly = mixed_.join(hits, ["anchor", "span"]).select("doc", "start", F.explode("hits").alias("hit"))
+    return same.unionByName(partly.select("doc", F.expr("start + hit.i").alias("start"), F.expr(f"start + hit.j + {window}").alias("end")))
 
 
 def remove_repeats(docs: DataFrame, window: int = 200, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
