@@ -40,6 +40,18 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
+def apart(docs: DataFrame, *outputs: str):
+    """``docs`` with its columns named by place, the place of a column, and what passes through.
+
+    No name of the input then meets a name that an operator uses inside; input columns named like one of ``outputs``
+    (case aside) give way to it.
+    """
+    places = {name.lower(): f"in_{i}" for i, name in reversed(list(enumerate(docs.columns)))}
+    taken = {name.lower() for name in outputs}
+    through = [F.col(f"in_{i}").alias(name) for i, name in enumerate(docs.columns) if name.lower() not in taken]
+    return docs.toDF(*(f"in_{i}" for i in range(len(docs.columns)))), lambda name: places[name.lower()], through
+
+
 def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it is counted and within ``rows``; beyond that Spark shuffles both sides."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

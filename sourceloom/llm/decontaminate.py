@@ -37,10 +37,16 @@ def _minima(sorted_col: str, bins: Column) -> Column:
 
 
 def bins_for(size: int, query: int, threshold: float, miss: float) -> int:
-    """Bins so that a query of ``query`` shingles, contained at ``threshold`` in ``size`` shingles, is missed with probability ``miss``."""
-    shared = threshold * query
-    likeness = min(shared / (size + query - shared), 0.999)
-    return min(max(math.ceil(math.log(miss) / math.log1p(-likeness)), 1), (1 << 31) - 1)
+    """Bins so that a query of ``query`` shingles, contained at ``threshold`` in ``size`` shingles, is missed with probability ``miss``.
+
+    With ``x`` shingles a bin a shared one is the least of its bin with probability ``(1 - exp(-x)) / x``.
+    """
+    shared = max(math.ceil(threshold * query), 1)
+    least, low, high = 1 - miss ** (1 / shared), 1e-9, 1e9
+    for _ in range(100):
+        x = math.sqrt(low * high)
+        low, high = (x, high) if -math.expm1(-x) / x > least else (low, x)
+    return min(max(math.ceil((size + query - shared) / low), 1), (1 << 31) - 1)
 
 
 def _signed(rows: DataFrame, k: int) -> DataFrame:

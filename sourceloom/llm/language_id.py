@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sourceloom.llm.common import ship
+from sourceloom.llm.common import apart, ship
 
 #: Labelled documents of each language that the model is fitted on at most, words of each that it reads, and most frequent languages it learns.
 FIT_DOCS, FIT_WORDS, FIT_LABELS = 200, 100, 200
@@ -24,6 +24,8 @@ REMEMBERED = 1 << 18
 NEW_WORDS = 1 << 14
 #: Sequences of a fitting step, and words of the stretches of one language they are made of.
 STEP_SEQUENCES, STRETCH = 32, 12
+#: Parts of a fitting text that are read, at hashed places over the whole of it, and characters of each.
+PARTS, PART_CHARS = 4, 150
 
 _WORD = regex.compile(r"[\p{L}\p{M}']*\p{L}[\p{L}\p{M}']*")
 
@@ -191,12 +193,15 @@ def identify(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
     and letter n-grams; labels, ids and sources are no inputs.
 
     A null text or one without letters gives ``und`` and 0; so does a table without labels.  Equal best labels give the first
-    by name.  Null ids are not held out; repeated rows are predicted each; other columns pass through.
+    by name.  Null ids are not held out and drawn by their text; repeated rows are predicted each; other columns pass through, but those
+    named like the three new ones give way to them.
     """
     spark = docs.sparkSession
     ship(spark)
+    docs, at, through = apart(docs, "held_out", "lang_pred", "score")
+    text_col, label_col, id_col = at(text_col), at(label_col), at(id_col)
     labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    draw = F.xxhash64(F.col(id_col).cast("string"), F.lit("fit"))
+    draw = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.lit("fit"))
     # Candidates by a hash threshold, from the count of each label; the few left are cut to the bound.
     counts = labelled.groupBy(F.col(label_col).alias("l")).agg(F.count("*").alias("c")).orderBy(F.desc("c")).limit(FIT_LABELS).collect()
     some = None
@@ -206,7 +211,10 @@ def identify(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
         some = near if some is None else some | near
     texts, labels = [], []
     if some is not None:
-        cut = F.substring(F.col(text_col), 1, 20 * FIT_WORDS)  # of fitting texts only
+        size = F.char_length(text_col)
+        place = lambda i: F.pmod(F.xxhash64(draw, F.lit(i)), F.greatest(size - PART_CHARS, F.lit(0)) + 1).cast("int") + 1
+        parts = F.concat_ws(" ", *(F.substr(F.col(text_col), place(i), F.lit(PART_CHARS)) for i in range(PARTS)))
+        cut = F.when(size > PARTS * PART_CHARS, parts).otherwise(F.col(text_col))  # of fitting texts only
         rows = labelled.where(some).select(draw.alias("h"), cut.alias("t"), F.col(label_col).alias("l")).collect()
         seen: dict[str, int] = {}
         for row in sorted(rows, key=lambda r: (r.h, r.t)):
@@ -220,4 +228,4 @@ def identify(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
     keep = [c for c in source.columns if c != "_text"]
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
     schema = StructType([f for f in source.schema.fields if f.name != "_text"] + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return source.mapInArrow(partial(_labelled, model=model, keep=keep), schema)
+    return source.mapInArrow(partial(_labelled, model=model, keep=keep), schema).select(*through, "held_out", "lang_pred", "score")

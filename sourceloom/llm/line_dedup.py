@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sourceloom.llm.common import small, store
+from sourceloom.llm.common import apart, small, store
 
 # What is stripped at both ends of a line, and the letters that are lower-cased.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -84,8 +84,11 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     Null and empty texts are one empty line.  Rows are documents; rows with the same id
     keep or lose a key together.  Null ids count as smaller than any id.  Keys are compared by 128 bits
     of hash.  A line common to a third of all rows is counted before it is shuffled, and
-    no group of documents is ever gathered; only a document's own dropped keys are.
+    no group of documents is ever gathered; only a document's own dropped keys are.  Input columns named like
+    the three new ones give way to them.
     """
+    docs, at, through = apart(docs, "kept", "n_lines", "n_dropped")
+    text_col, id_col = at(text_col), at(id_col)
     base = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)))
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     own = F.array_distinct(F.filter(F.transform(lines, lambda l: _hashes(l, min_chars)), lambda p: p.isNotNull()))
@@ -107,6 +110,6 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     kept = F.when(F.col("_drops").isNull(), F.col("_lines")).otherwise(
         F.filter("_lines", lambda l: ~F.coalesce(F.array_contains(F.col("_drops"), _hashes(l, min_chars)), F.lit(False))))
     marked = marked.withColumn("_kept", kept)
-    return marked.select(*(F.col(f"`{c}`") for c in docs.columns), F.array_join("_kept", "\n").alias("kept"),
+    return marked.select(*through, F.array_join("_kept", "\n").alias("kept"),
                          F.size("_lines").cast("bigint").alias("n_lines"),
                          (F.size("_lines") - F.size("_kept")).cast("bigint").alias("n_dropped"))

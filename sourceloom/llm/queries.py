@@ -69,11 +69,11 @@ steps AS (SELECT source, list(total ORDER BY k) AS steps FROM (
   SELECT source, k, sum(CASE WHEN k = 0 THEN exp(-rate) ELSE exp(k * ln(rate) - rate - lgamma(k + 1)) END)
     OVER (PARTITION BY source ORDER BY k) AS total
   FROM (SELECT source, rate, unnest(range(0, 32 + ceil(rate + 14 * sqrt(rate))::BIGINT)) AS k FROM r WHERE rate > 0)) GROUP BY source),
-c AS (SELECT d.*, rate, len(list_filter(steps, lambda x: x <= ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0)) AS copies
+c AS (SELECT d.*, rate, len(list_filter(steps, lambda x: x <= ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, 'null|' || md5(coalesce(d.text, '')))), 1, 13))::BIGINT / 4503599627370496.0)) AS copies
   FROM documents d JOIN r ON d.source IS NOT DISTINCT FROM r.source JOIN steps t ON d.source IS NOT DISTINCT FROM t.source),
 e AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM c)
 SELECT doc_id, text, lang, source, n_chars, round(rate, 9) AS rate, copies, copy,
-  md5('mix|order|' || coalesce(doc_id::VARCHAR, 'null') || '|' || copy) AS shuffle_key FROM e""")
+  md5('mix|order|' || coalesce(doc_id::VARCHAR, 'null|' || md5(coalesce(text, ''))) || '|' || copy) AS shuffle_key FROM e""")
 def op5_mix_sources(spark, sf_dir):
     """The corpus repeated towards square-root source weights, shuffled."""
     return mix_sources(table(spark, sf_dir, "documents")).withColumn("rate", F.round("rate", 9))

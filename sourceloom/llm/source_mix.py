@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sourceloom.llm.common import small
+from sourceloom.llm.common import apart, small
 
 #: Sources that may be broadcast with their distribution tables (some hundred bytes each).
 BROADCAST_SOURCES = 20_000
@@ -59,15 +59,19 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, power:
     number hashed from the seed and its id, so any run gives the same rows.  Rows are
     dealt by the digest ``shuffle_key`` and sorted by it inside partitions.
 
-    Null sources form a source of their own; null ids share one draw, as do repeated
-    ids.  Sources without text or weight get rate 0 and leave.  Empty texts of other
-    sources are repeated like any.  No Python runs.
+    Null sources form a source of their own.  Rows of one id share a draw; rows without id draw by their text, so
+    those of equal texts (null and empty are equal) share one.  Sources without text or weight get rate 0 and leave.
+    Empty texts of other sources are repeated like any.  Input columns named like the four new ones give way to them.
+    No Python runs.
     """
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    rates = source_rates(docs, weights, power, text_col, source_col).select("_source", "rate", poisson_steps(F.col("rate")).alias("_steps"))
-    rated = docs.join(small(rates, BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
+    inner, at, through = apart(docs, "rate", "copies", "copy", "shuffle_key")
+    text_col, source_col = at(text_col), at(source_col)
+    ident = F.coalesce(F.col(at(id_col)).cast("string"), F.concat(F.lit("null|"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
+    rates = source_rates(inner, weights, power, text_col, source_col).select("_source", "rate", poisson_steps(F.col("rate")).alias("_steps"))
+    rated = inner.join(small(rates, BROADCAST_SOURCES), F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
     drawn = rated.withColumn("_u", uniform(F.lit(seed), ident))
     counted = drawn.withColumn("copies", F.size(F.filter("_steps", lambda c: c <= F.col("_u"))).cast("bigint")).drop("_steps", "_u")
     copies = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), ident, F.col("copy").cast("string"))))
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    dealt = keyed.select(*through, "rate", "copies", "copy", "shuffle_key")
+    return dealt.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -204,6 +204,66 @@ def test_odd_rows_and_empty_tables(spark, name):
     assert ODD_RUNS[name](frame(spark, ODD).limit(0)).count() == 0
 
 
+CLASHING = ["rate", "Rate", "copies", "copy", "shuffle_key", "_steps", "_source", "_u", "held_out", "lang_pred", "score", "_text", "kept", "n_lines",
+            "n_dropped", "_drops", "_id", "_lines", "_kept", "in_0", "in_1"]
+
+
+@pytest.mark.parametrize("name, new", [("op5", ["rate", "copies", "copy", "shuffle_key"]), ("op6", ["held_out", "lang_pred", "score"]),
+                                       ("op10", ["kept", "n_lines", "n_dropped"])])
+def test_clashing_names(spark, name, new):
+    """Columns of any name pass through; those named like an output give way to it, and values are those without them."""
+    plain = frame(spark, ODD)
+    rows = spark.createDataFrame([(*r, *(f"{c}!" for c in CLASHING)) for r in ODD],
+                                 "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`c{i}` string" for i in range(len(CLASHING))))
+    got = ODD_RUNS[name](rows.toDF("doc_id", "text", "lang", "source", *CLASHING))
+    through = [c for c in CLASHING if c.lower() not in new]
+    assert got.columns == ["doc_id", "text", "lang", "source", *through, *new]
+    values = [tuple(r) for r in got.collect()]
+    n = 4 + len(through)
+    assert values and all(v[4:n] == tuple(f"{c}!" for c in through) for v in values)
+    want = ODD_RUNS[name](plain).select("doc_id", "text", *new).collect()
+    assert sorted(repr((*v[:2], *v[n:])) for v in values) == sorted(repr(tuple(r)) for r in want)
+
+
+def test_rows_without_id_draw_each(spark):
+    docs = [(None, f"text number {i} of {i % 2}", None, "ab"[i % 2]) for i in range(400)] + [(1, "a long text " * 2000, None, "c")]
+    kept = [r for r in mix_sources(frame(spark, docs)).collect() if r.doc_id is None]
+    assert len({r.text for r in kept}) > 300 and len({r.copies for r in kept}) > 3
+
+
+@pytest.mark.parametrize("n", [5, 6, 8])
+def test_short_items_in_long_documents(spark, n):
+    items = [(i, " ".join(f"i{i}x{j}" for j in range(n))) for i in range(300)]
+    texts = [(i, " ".join([f"a{i}y{j}" for j in range(700)] + [t] + [f"b{i}y{j}" for j in range(700)]), None, None) for i, t in items]
+    found = contained_items(frame(spark, texts), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert all(r.doc_id == r.item_id for r in found) and len(found) >= 299
+
+
+def test_language_fit_reads_beyond_heads(spark):
+    head = "same words stand here at the head of all " * 70
+    bodies = {"x": "lorem ipsum dolor amet sit vel magna " * 100, "y": "quick brown foxes jump high over dogs " * 100}
+    docs = [(i, head + bodies["xy"[i % 2]], "xy"[i % 2], None) for i in range(200)]
+    rows = identify(frame(spark, docs)).collect()
+    assert sum(r.lang_pred == r.lang for r in rows) > 0.9 * len(rows)
+
+
+def test_pipeline_rows_without_own_id(spark, data):
+    """Copies and leaks are decided by row: null and repeated ids neither save nor doom another row."""
+    import corpus_pipeline
+
+    item = duckdb.sql(f"SELECT text FROM '{data}/benchmark.parquet' ORDER BY item_id LIMIT 1").fetchall()[0][0]
+    rows = [(None, BLOCK * 4, "en", "a"), (None, BLOCK * 4, "en", "a"), (9, BLOCK * 4, "en", "a"), (3, "a clean text of its own words", "en", "a"),
+            (3, "a clean text of its own words", "en", "a"), (3, "quite another one under the same number", "en", "a"), (None, f"before {item} after", "en", "a"),
+            (3, f"some words {item} more words", "en", "b"), (None, None, None, None)]
+    docs = frame(spark, rows).select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, data)
+    texts = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert texts[9, BLOCK * 4] == 1 and texts[None, BLOCK * 4] == 0
+    assert texts[3, rows[3][1]] == 1 and texts[3, rows[5][1]] == 1 and texts[None, None] == 1
+    clean = corpus_pipeline.drop_leaks(spark, docs, data).collect()
+    assert len(clean) == 7 and not any(item in (r.text or "") for r in clean)
+
+
 def test_pipeline_keeps_clean_documents(spark, data):
     import corpus_pipeline
 
