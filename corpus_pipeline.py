@@ -30,16 +30,35 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number of each row: its id if all ids differ and none is null, else one fixed in a stored table."""
+    docs = docs.select(*COLUMNS)
+    odd = docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1")
+    if not odd.limit(1).count():
+        return docs.withColumn("_row", F.col("doc_id"))
+    return store(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each component, at five words and a likeness of 0.8."""
-    found = ngram_components(docs.select(*COLUMNS), k=5, percent=80)
-    return without(docs.select(*COLUMNS), store(found.where("doc_id <> component_id").select("doc_id"), "near-copies"), "doc_id")
+    """The document of least id of each component, at five words and a likeness of 0.8; null ids are the largest.
+
+    Each row is a document: of rows with equal ids and texts one stays.
+    """
+    rows = keyed(docs)
+    found = store(ngram_components(rows.select("_row", "text"), k=5, percent=80, id_col="_row"), "components")
+    members = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_row"), "component_id")
+    heads = members.select("component_id").distinct().select(F.col("component_id").alias("_row"), "component_id")
+    named = members.unionByName(heads).join(rows.select("_row", "doc_id"), "_row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("x"))
+    gone = named.select("_row").join(first.select("x._row"), "_row", "left_anti")
+    return without(rows, store(gone, "near-copies"), "_row").select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = contained_items(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs.select(*COLUMNS), store(leaks.select("doc_id"), "leaks"), "doc_id")
+    """Documents that hold no benchmark item; each row is judged by itself, whatever its id."""
+    rows = keyed(docs)
+    leaks = contained_items(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    return without(rows, store(leaks.select(F.col("doc_id").alias("_row")), "leaks"), "_row").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
