@@ -20,6 +20,8 @@ SLOTS, BLOCKS = 1 << 22, 64
 FRAGMENTS = 4
 #: Posting lists up to this length are compared pair by pair, longer ones with hubs until nothing is left to compare.
 PLAIN_LIST = 4
+#: Bits of a set's parity map: bit ``i`` says whether an odd number of its shingles fell on ``i``.
+MAP_WORDS = 8
 #: Hubs that a long list gets in the second round, and the factor by which each later round has more.
 HUBS, WIDER = 8, 4
 
@@ -49,8 +51,21 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h >> _U(6)) & _U(SLOTS - 1)).astype(np.int64)
 
 
+def _maps(h: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    """The parity map of each row's set as ``MAP_WORDS`` longs; zeros for an empty set."""
+    maps = np.zeros((len(n), MAP_WORDS), np.uint64)
+    some = n > 0
+    if len(h):
+        at, slot = (np.cumsum(n) - n)[some], h >> _U(20)
+        word, bit = (slot >> _U(6)) & _U(MAP_WORDS - 1), _U(1) << (slot & _U(63))
+        for w in range(MAP_WORDS):
+            maps[some, w] = np.bitwise_xor.reduceat(np.where(word == _U(w), bit, _U(0)), at)
+    places = np.arange(0, MAP_WORDS * len(n) + 1, MAP_WORDS, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(places), pa.array(maps.reshape(-1).view(np.int64)))
+
+
 def _scanned(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    names = ["kind", "doc_id", "n", "id", "block", "data"]
+    names = ["kind", "doc_id", "n", "id", "map", "block", "data"]
     counts = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for a, row, h, n, ids in _sets(batch, k):
@@ -58,12 +73,12 @@ def _scanned(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
             rows = len(n)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.zeros(rows, np.int32)), batch.column("doc_id").slice(a, rows), pa.array(n.astype(np.int64)),
-                pa.array(ids.view(np.int64), mask=n == 0), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
+                pa.array(ids.view(np.int64), mask=n == 0), _maps(h, n), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
     if counts.any():
         parts = counts.reshape(BLOCKS, -1)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.ones(BLOCKS, np.int32)), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.int64()),
-            pa.array(np.arange(BLOCKS, dtype=np.int32)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=names)
+            pa.nulls(BLOCKS, pa.list_(pa.int64())), pa.array(np.arange(BLOCKS, dtype=np.int32)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=names)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +147,7 @@ class NgramJoin:
 
     The global order of shingles is frequency class (from a counting sketch of all shingles) and hash.
     Equal sets are joined as one.  Any two linked sets share a shingle in the prefixes of the order, so prefixes give
-    the candidates, with bounds on size and position; the candidates' overlaps are counted in each
+    the candidates, with bounds on size, position and differing bits of their parity maps; the candidates' overlaps are counted in each
     fragment of the order on its own and summed per pair.
 
     In a long posting list candidates are its members against a few hubs; members not yet in the
@@ -145,8 +160,8 @@ class NgramJoin:
         ship(spark)
         self.k, self.percent = k, percent
         self.docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-        scan = store(self.docs.mapInArrow(partial(_scanned, k=k), "kind int, doc_id bigint, n bigint, id bigint, block int, data binary"), "ngram-scan")
-        self.sets = scan.where("kind = 0").select("doc_id", "n", "id")
+        scan = store(self.docs.mapInArrow(partial(_scanned, k=k), "kind int, doc_id bigint, n bigint, id bigint, map array<bigint>, block int, data binary"), "ngram-scan")
+        self.sets = scan.where("kind = 0").select("doc_id", "n", "id", "map")
         sketch = scan.where("kind = 1").select("block", "data").repartition(BLOCKS, "block")
         parts = sketch.mapInArrow(_summed, "block int, classes binary, mass array<bigint>").collect()  # fixed size
         table, mass = np.zeros((BLOCKS, SLOTS // BLOCKS), np.uint8), [0] * 32
@@ -155,7 +170,7 @@ class NgramJoin:
             mass = [x + y for x, y in zip(mass, p.mass)]
         self.classes = spark.sparkContext.broadcast(table.tobytes())
         self.pivots = _pivots(mass, FRAGMENTS)
-        self.reps = store(self.sets.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id")), "ngram-sets")
+        self.reps = store(self.sets.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("map").alias("map")), "ngram-sets")
 
     def _texts(self) -> DataFrame:
         """One text of each set; documents without id always stay."""
@@ -163,11 +178,17 @@ class NgramJoin:
         return without(self.docs, copies, "doc_id")
 
     def _near(self, a: str, b: str):
-        """Bounds that every linked pair meets at its first common shingle."""
+        """Bounds that every linked pair meets at its first common shingle.
+
+        Each bit in which two parity maps differ stands for at least one shingle that only one set has, so
+        pairs that differ in more bits than linked sets may differ in shingles are never made.
+        """
         p = self.percent
         shared = f"least({a}.n - {a}.pos, {b}.n - {b}.pos)"
+        apart = " + ".join(f"bit_count({a}.map[{i}] ^ {b}.map[{i}])" for i in range(MAP_WORDS))
         return (f"100 * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) AND "
-                f"{100 + p} * {shared} >= {p} * ({a}.n + {b}.n)")
+                f"{100 + p} * {shared} >= {p} * ({a}.n + {b}.n) AND "
+                f"{100 + p} * ({apart}) <= {100 - p} * ({a}.n + {b}.n)")
 
     @staticmethod
     def _pairs(joined: DataFrame, a: str, b: str) -> DataFrame:
@@ -198,11 +219,12 @@ class NgramJoin:
         members = lambda seed: F.bit_xor(F.xxhash64("id", F.lit(seed)))
         shared = postings.groupBy("key").agg(F.count("*").alias("m"), members(1).alias("s1"), members(2).alias("s2")).where("m > 1")
         shared = shared.groupBy("m", "s1", "s2").agg(F.min("key").alias("key")).select("key", "m")
-        lists = store(postings.join(shared.hint("merge"), "key"), "ngram-lists")
+        lists = postings.join(shared.hint("merge"), "key")
+        lists = store(lists.join(self.reps.select("id", "map").hint("merge"), "id"), "ngram-lists")
         short, long = lists.where(f"m <= {PLAIN_LIST}"), lists.where(f"m > {PLAIN_LIST}")
         plain = self._pairs(short.alias("x").join(short.alias("y"), F.expr(f"x.key = y.key AND x.id < y.id AND {self._near('x', 'y')}")), "x", "y")
         # In the first round a list's hub is its member of least hash, and a document meets the least hub of all its lists.
-        own = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "pos")).alias("x")).select("key", "x.*")
+        own = long.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "pos", "map")).alias("x")).select("key", "x.*")
         met = long.alias("x").join(own.alias("y"), F.expr(f"x.key = y.key AND x.id <> y.id AND {self._near('x', 'y')}"))
         met = met.groupBy(F.col("x.id").alias("id")).agg(F.min(F.struct("y.h", F.col("y.id").alias("hub"))).alias("y"))
         first = met.select(F.least("id", "y.hub").alias("a"), F.greatest("id", "y.hub").alias("b")).distinct()
