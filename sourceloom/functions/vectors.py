@@ -25,25 +25,27 @@ def bucket(token: Column, dimension: int) -> Column:
 def hashed_vector(words: Column, dimension: int = DIMENSION) -> Column:
     """Dense token counts by bucket, computed inside the row: nothing is shuffled.
 
-    One pass over the sorted buckets; zeros are filled in between them, so the
-    work is one step per token and one append per distinct bucket.
+    Equal buckets stand together after sorting, so a count is the length of a run.  Each run gives its count after the
+    zeros since the run before; the parts are joined once, in work linear in tokens and dimension.
     """
-    buckets = F.sort_array(F.transform(words, lambda w: bucket(w, dimension).cast("int")))
     zeros = lambda n: F.array_repeat(F.lit(0).cast("float"), n)
-    start = F.struct(
-        F.array().cast("array<float>").alias("done"), F.lit(0).alias("at"), F.lit(0).cast("float").alias("count")
-    )
-
-    def step(state: Column, position: Column) -> Column:
-        moved = F.struct(
-            F.concat(state["done"], F.array(state["count"]), zeros(position - state["at"] - 1)).alias("done"),
-            position.alias("at"), F.lit(1).cast("float").alias("count"),
-        )
-        same = F.struct(state["done"].alias("done"), state["at"].alias("at"), (state["count"] + 1).cast("float").alias("count"))
-        return F.when(position == state["at"], same).otherwise(moved)
-
-    finish = lambda state: F.concat(state["done"], F.array(state["count"]), zeros(F.lit(dimension - 1) - state["at"]))
-    return F.aggregate(buckets, start, step, finish)
+
+    def dense(buckets: Column, starts: Column) -> Column:
+        at = lambda j: F.get(buckets, F.get(starts, j))
+
+        def part(start: Column, j: Column) -> Column:
+            behind = F.coalesce(at(j - 1) + 1, F.lit(0))
+            following = F.coalesce(F.get(starts, j + 1), F.size(buckets))
+            return F.concat(zeros(F.get(buckets, start) - behind), F.array((following - start).cast("float")))
+
+        tail = zeros(F.lit(dimension - 1) - F.coalesce(at(F.size(starts) - 1), F.lit(-1)))
+        return F.concat(F.flatten(F.transform(starts, part)), tail)
+
+    def counted(buckets: Column) -> Column:
+        places = F.transform(buckets, lambda x, i: F.when((i == 0) | (x != F.get(buckets, i - 1)), i))
+        return bound(F.filter(places, lambda i: i.isNotNull()), lambda starts: dense(buckets, starts))
+
+    return bound(F.sort_array(F.transform(words, lambda w: bucket(w, dimension).cast("int"))), counted)
 
 
 def norm(vector: Column) -> Column:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-# How many ways a hot callee name is spread over tasks.
-SALT = 16
+# Names that a sketch of the edges tracks, those it may report, and the share of all edges that makes a name hot.
+TRACKED, HOT_NAMES, HOT_SHARE = 8192, 256, 1 / 256
 
 
 def call_edges(chunks: DataFrame) -> DataFrame:
@@ -15,21 +15,32 @@ def call_edges(chunks: DataFrame) -> DataFrame:
     )
 
 
+def hot_callees(edges: DataFrame) -> DataFrame:
+    """``callee`` names with at least ``HOT_SHARE`` of all edges, at most ``HOT_NAMES``; estimated, found in one pass.
+
+    A heavy-hitter sketch of fixed size combines before the shuffle, so the pass moves no edges.
+    """
+    found = edges.agg(
+        F.count("*").alias("edges"), F.expr(f"approx_top_k(callee, {HOT_NAMES}, {TRACKED})").alias("top"))
+    each = found.select("edges", F.explode("top").alias("hot"))
+    return each.where(F.col("hot.count") >= F.lit(HOT_SHARE) * F.col("edges")).select(F.col("hot.item").alias("callee"))
+
+
 def called_by(chunks: DataFrame) -> DataFrame:
     """Edges whose callee is defined in the corpus.
 
     Kept as rows: a name such as ``get`` may have callers without bound, so no
     list per callee is built, and definitions are reduced to distinct names so a
-    name defined often does not multiply its callers.  Both sides are salted, so
-    the callers of one hot name spread over several tasks.
+    name defined often does not multiply its callers.  Edges of hot names stay
+    where they are and meet the few defined hot names by broadcast; only the
+    others are shuffled by name, each name once.
     """
-    edges = call_edges(chunks).withColumn(
-        "salt", F.pmod(F.xxhash64("file_path", "start_line"), F.lit(SALT))
-    )
-    names = chunks.select(F.col("name").alias("callee")).distinct().withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)).cast("array<bigint>"))
-    )
-    return edges.join(names, ["callee", "salt"], "left_semi").drop("salt")
+    edges = call_edges(chunks)
+    names = chunks.select(F.col("name").alias("callee")).distinct()
+    hot = F.broadcast(hot_callees(edges))
+    defined = F.broadcast(names.join(hot, "callee", "left_semi"))
+    rest = edges.join(hot, "callee", "left_anti")
+    return edges.join(defined, "callee", "left_semi").unionByName(rest.join(names, "callee", "left_semi"))
 
 
 def caller_counts(edges: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Vectors, ids, collections, call edges and incremental refresh."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -32,6 +33,18 @@ def test_hash_embedding(spark):
     assert math.isclose(sum(x * x for x in rows[1]), 1, rel_tol=1e-6)
 
 
+def test_hash_embedding_counts_against_brute_force(spark):
+    texts = ["", "x", "a a a b", " ".join(f"w{i * i % 97}" for i in range(900)), " ".join(f"v{i}" for i in range(3000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for dimension in (1, 2, 16, 768):
+        got = {r.id: list(r.v) for r in df.select("id", V.hashed_vector(V.tokens(F.col("text")), dimension).alias("v")).collect()}
+        for i, text in enumerate(texts):
+            want = [0.0] * dimension
+            for w in text.split():
+                want[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dimension] += 1
+            assert got[i] == want
+
+
 def test_truncation_keeps_the_first_tokens(spark):
     df = spark.createDataFrame([("A b, c_d É1",)], "t string")
     assert df.select(V.tokens(F.col("t"), 3).alias("w")).first().w == ["a", "b", "c_d"]
@@ -84,6 +97,20 @@ def test_call_edges_against_brute_force(spark):
     assert counts["hot"] == 60
 
 
+def test_a_hot_callee_is_found_and_never_shuffled_by_name(spark):
+    """One callee holds a third of the edges, another hot one has no definition."""
+    rows = [(f"f{i}", 1, f"n{i}", ["hot", "gone", f"n{(i * 7) % 1000}"]) for i in range(1000)] + [("g", 1, "hot", None)]
+    chunks = spark.createDataFrame(rows, "file_path string, start_line int, name string, calls array<string>")
+    edges = enrich.call_edges(chunks)
+    assert {"hot", "gone"} == {r.callee for r in enrich.hot_callees(edges).collect()}
+    got = enrich.called_by(chunks)
+    assert {r.callee: r.callers for r in enrich.caller_counts(got).collect()} == {"hot": 1000} | {f"n{i}": 1 for i in range(1000)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and "pmod(" not in plan
+    empty = chunks.where("false")
+    assert enrich.called_by(empty).count() == 0
+
+
 def test_collection_upsert_and_refresh(spark, tmp_path):
     base = chunk_rows(spark, 30).withColumn("id", F.col("start_line"))
     place = C.write_collection(base, str(tmp_path), "c")
