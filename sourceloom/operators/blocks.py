@@ -135,6 +135,24 @@ def syntax_health(files: DataFrame) -> DataFrame:
     )
 
 
+def broken_regions(files: DataFrame, langs=P.LANGUAGES) -> DataFrame:
+    """``path, reason, from_line`` of each file that fails the check: where sound text ends, from 0.
+
+    Sound text ends with the last piece before the first error after which nothing is open, so all that
+    was closed by then is intact.  What comes later is not looked at again.
+    """
+    rows = located(pieces(by_path(files, langs), langs))
+    bad = F.col("stray") | F.col("unbalanced")
+    first = F.min(F.when(bad, F.col("n"))).over(Window.partitionBy("path"))
+    rows = rows.withColumn("first_bad", first).where("first_bad IS NOT NULL")
+    sound = (F.col("n") < F.col("first_bad")) & (F.col("depth_end") == 0) & (F.col("open_end") == 0)
+    # A piece that ends in the middle of a line leaves that line to the sound text.
+    edge = F.struct("n", (F.col("line_end") + F.when(F.col("column_end") > 0, 1).otherwise(0)).alias("line"))
+    reason = F.when(F.max("stray"), "unterminated literal or comment").otherwise("unbalanced brackets")
+    return rows.groupBy("path").agg(
+        reason.alias("reason"), F.coalesce(F.max(F.when(sound, edge))["line"], F.lit(0)).alias("from_line"))
+
+
 def _candidates(rows: DataFrame, langs=P.LANGUAGES) -> DataFrame:
     """Keeps pieces that open, close or declare something; drops all other text."""
     language, term, piece = F.col("language"), F.col("term"), F.col("piece")
@@ -184,6 +202,10 @@ def paired(rows: DataFrame, keep_broken: bool = False, langs=P.LANGUAGES) -> Dat
         ).where(~F.col("broken")).drop("broken")
         file_end = F.lit(None).cast("struct<line:bigint,column:bigint,n:int>")
     else:
+        # A surplus closing brace ends nothing: depth starts anew at 0, so the functions after it are found.
+        low = lambda window: F.least(F.lit(0), F.coalesce(F.min("depth_end").over(window), F.lit(0)))
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumns({"depth": F.col("depth") - low(before), "depth_end": F.col("depth_end") - low(upto)})
         # Where a block is never closed, the file's end stands in.
         file_end = F.max(F.struct(F.col("line_end").alias("line"), F.col("column_end").alias("column"), "n")).over(
             Window.partitionBy("path"))

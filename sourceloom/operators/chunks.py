@@ -8,7 +8,7 @@ from sourceloom.functions import headers as H
 from sourceloom.functions import patterns as P
 from sourceloom.functions import relations as R
 from sourceloom.functions import text as X
-from sourceloom.operators.blocks import by_path, located, paired, pieces, scoped
+from sourceloom.operators.blocks import broken_regions, by_path, located, paired, pieces, scoped
 from sourceloom.schema import CHUNKS
 
 
@@ -159,6 +159,20 @@ def extract_functions(
     return described(attach_text(blocks, files, "imports" in columns, langs), columns, langs)
 
 
+def marked_functions(files: DataFrame, languages=None, columns=None) -> DataFrame:
+    """Functions of all files, those of broken ones too, with ``incomplete`` and ``reason``.
+
+    A function of a broken file is incomplete if it ends after the sound text of the file
+    (``blocks.broken_regions``); those closed before the first error are not marked and have no reason.
+    ``columns`` must hold ``file_path`` and ``end_line``.
+    """
+    found = extract_functions(files, on_error="keep", languages=languages, columns=columns)
+    regions = broken_regions(files, _languages(languages)).withColumnRenamed("path", "file_path")
+    joined = found.join(regions, "file_path", "left")
+    incomplete = F.coalesce(F.col("end_line") > F.col("from_line"), F.lit(False))
+    return joined.select(*found.columns, incomplete.alias("incomplete"), F.when(incomplete, F.col("reason")).alias("reason"))
+
+
 def is_class_like() -> Column:
     """Classes, interfaces, enums, records, structs and impl blocks that bear a name."""
     return (F.col("kind") == "c") | ((F.col("kind") == "k") & (F.col("language") == "java") & (F.col("name") != ""))

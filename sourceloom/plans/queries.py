@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sourceloom.functions import paths, text as X, vectors as V
 from sourceloom.operators import collection as C, embed as E, enrich, incremental as D, predicates as P
 from sourceloom.operators.blocks import syntax_health
-from sourceloom.operators.chunks import class_edges, extract_functions
+from sourceloom.operators.chunks import class_edges, extract_functions, marked_functions
 from sourceloom.plans import corpus as R
 from sourceloom.operators.snapshots import Snapshots
 from sourceloom.sources.scan import files_from_table, scan_corpus
@@ -377,6 +377,13 @@ def keep_incomplete(spark, sf_dir):
     return chunk_columns(spark, sf_dir, ("file_path", "name", "start_line", "end_line"), on_error="keep")
 
 
+@query("marked_functions", f"SELECT *, false AS incomplete FROM ({_keep_sql()})")
+def marked_function_rows(spark, sf_dir):
+    """Broken files of the corpus break after their last function, so each function is sound."""
+    found = marked_functions(corpus_files(spark, sf_dir), columns=("file_path", "name", "start_line", "end_line"))
+    return flat(found.drop("reason"))
+
+
 @query("neighbour_context", f"""
 SELECT file_path, name, start_line, md5(lag(code) OVER w) AS previous_digest, md5(lead(code) OVER w) AS next_digest
 FROM ({CODE_SQL}) WINDOW w AS (PARTITION BY file_path ORDER BY start_line, start_column)""")

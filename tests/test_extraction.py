@@ -2,6 +2,8 @@
 
 import pytest
 
+from sourceloom.operators.chunks import marked_functions
+
 
 def names(rows):
     return [r["name"] for r in rows]
@@ -174,6 +176,24 @@ def test_keep_mode_returns_unclosed_functions(extract):
     assert (row["name"], row["arguments"], row["start_line"], row["end_line"]) == ("f", ["a"], 2, 4)
 
 
+def test_marks_tell_sound_functions_of_broken_files(spark):
+    texts = [
+        ("whole.go", "go", "package p\nfunc f() {}\n"),
+        ("open.go", "go", "package p\nfunc f(a int) {\n\tx()\n}\n\nfunc g() {\n\ty(\n"),
+        ("extra.c", "c", "int a() { return 1; }\nint b() {\n  return 2; }}\nint c() { return 3; }\n"),
+        ("quote.java", "java", "class A {\n  int f() { return 1; }\n}\nclass B {\n  String g() { return \"x; }\n}\n"),
+        ("call.py", "python", "def f():\n    return 1\ndef g():\n    return h(\n"),
+        ("empty.c", "c", "")]
+    files = spark.createDataFrame(texts, "path string, language string, text string")
+    rows = marked_functions(files, columns=("file_path", "name", "end_line")).collect()
+    got = {(r.file_path, r.name): (r.incomplete, r.reason) for r in rows}
+    sound, brackets = (False, None), (True, "unbalanced brackets")
+    assert got["whole.go", "f"] == got["open.go", "f"] == got["extra.c", "a"] == got["extra.c", "b"] == sound
+    assert got["quote.java", "f"] == got["call.py", "f"] == sound
+    assert got["open.go", "g"] == got["extra.c", "c"] == got["call.py", "g"] == brackets
+    assert got["quote.java", "g"] == (True, "unterminated literal or comment")
+
+
 def test_unset_and_empty_inputs(spark, extract):
     assert extract("java", "") == []
     assert extract("python", "# only a comment") == []
