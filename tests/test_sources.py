@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from sourceloom.functions.paths import SUFFIX_GLOB, ignore_regex, is_ignored, language_of
 from sourceloom.operators import predicates as P
+from sourceloom.plans import corpus
+from sourceloom.plans.queries import QUERIES
 from sourceloom.sources.scan import scan_corpus
 from sourceloom.streaming.ingest import file_stream, ingest
 
@@ -124,3 +126,13 @@ def test_stream_follows_the_rules_of_the_scan(spark, tmp_path):
     ingest(file_stream(spark, root, rules, languages=["python"]), out + "/chunks", out + "/state").awaitTermination()
     streamed = {r.file_path for r in spark.read.parquet(out + "/chunks").collect()}
     assert streamed == {r.path for r in scan_corpus(spark, root, ["python"], ".rules").collect()} == {"a/top.py", "a/b+c%20.py"}
+
+
+def test_texts_are_rendered_by_many_tasks(spark, tmp_path):
+    """A part table of one row group becomes texts, paths and filters in all tasks, with the same rows."""
+    parts = spark.range(600).selectExpr("id AS p_partkey", "concat('red ', id) AS p_name", "cast(id % 50 AS int) AS p_size")
+    parts.unionByName(parts.where("p_partkey < 2")).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for rendered in (corpus.raw_corpus(spark, str(tmp_path)), QUERIES["files_from_table"](spark, str(tmp_path))):
+        rows = rendered.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in rows) == 602
+        assert len(rows) == 8 and max(r["count"] for r in rows) < 100
