@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from sourceloom.functions.paths import SUFFIX_GLOB, ignore_regex, is_ignored, language_of
 from sourceloom.operators import predicates as P
+from sourceloom.operators.blocks import by_path
 from sourceloom.plans import corpus
-from sourceloom.plans.queries import QUERIES
+from sourceloom.plans.queries import QUERIES, corpus_files
 from sourceloom.sources.scan import scan_corpus
 from sourceloom.streaming.ingest import file_stream, ingest
 
@@ -136,3 +137,17 @@ def test_texts_are_rendered_by_many_tasks(spark, tmp_path):
         rows = rendered.groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in rows) == 602
         assert len(rows) == 8 and max(r["count"] for r in rows) < 100
+
+
+def test_texts_are_rendered_after_the_deal(spark, tmp_path):
+    """Filters on rendered paths and texts stay above the exchange that deals the parts over all tasks."""
+    names = (None, "", "almond rose", "x«s»y z", "«k» «w»", "ä'\\")
+    rows = [(key, name, size) for key in [None, *range(-2, 40)] for name, size in zip(names, (3, None, 0, 7, 5, -2))]
+    part = spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_size int")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    texts = part.select(F.expr(corpus.raw_text_sql()).alias("old"), F.expr(corpus.raw_text_joined_sql()).alias("new"))
+    assert texts.where("NOT old <=> new").count() == 0
+    filtered = by_path(corpus_files(spark, str(tmp_path)))
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    deal = plan.index("RoundRobinPartitioning")
+    assert "Filter (" in plan[:deal] and "Filter (" not in plan[deal:] and "RLIKE" not in plan[deal:]
