@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,6 +27,8 @@ NEW_WORDS = 1 << 14
 STEP_SEQUENCES, STRETCH = 32, 12
 #: Parts of a fitting text that are read, at hashed places over the whole of it, and characters of each.
 PARTS, PART_CHARS = 4, 150
+#: Texts of an Arrow batch that are split into words together, and their bytes.
+TURN_ROWS, TURN_BYTES = 2000, 1 << 20
 
 _WORD = regex.compile(r"[\p{L}\p{M}']*\p{L}[\p{L}\p{M}']*")
 
@@ -149,6 +152,16 @@ class Lexicon(dict):
 _lexicons: dict[str, Lexicon] = {}
 
 
+def _turns(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``TURN_ROWS`` texts and, but for a longer text on its own, ``TURN_BYTES`` bytes."""
+    ends, at = np.cumsum(size, dtype=np.int64), 0
+    while at < len(size):
+        bound = (ends[at - 1] if at else 0) + TURN_BYTES
+        to = min(max(int(np.searchsorted(ends, bound, "right")), at + 1), at + TURN_ROWS, len(size))
+        yield at, to
+        at = to
+
+
 def _labelled(batches: Iterator[pa.RecordBatch], model, keep: list[str]) -> Iterator[pa.RecordBatch]:
     spec = model.value
     names, move = spec["names"], spec["move"]
@@ -166,10 +179,12 @@ def _labelled(batches: Iterator[pa.RecordBatch], model, keep: list[str]) -> Iter
         return list((gamma * inside[:, :, None]).sum(1) / length[:, None])
 
     for batch in batches:
-        texts = batch.column("_text").to_pylist()
-        language, value = ["und"] * len(texts), [0.0] * len(texts)
-        for at in range(0, len(texts), 2000):
-            words = {i: ws for i in range(at, min(at + 2000, len(texts))) if (ws := words_of(texts[i]))} if names else {}
+        language, value = ["und"] * len(batch), [0.0] * len(batch)
+        size = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
+        for at, to in _turns(size) if names else ():
+            # Texts become Python strings turn by turn: a whole batch of them and their words would fill the worker.
+            texts = enumerate(batch.column("_text").slice(at, to - at).to_pylist(), at)
+            words = {i: ws for i, text in texts if (ws := words_of(text))}
             order = sorted(words, key=lambda i: -len(words[i]))
             while order:
                 # Groups of like lengths: at most about 200,000 words, padding included.

@@ -269,3 +269,24 @@ def test_pipeline_keeps_clean_documents(spark, data):
 
     out = corpus_pipeline.run(spark, data)
     assert out.count() > 100 and set(corpus_pipeline.COLUMNS) <= set(out.columns)
+
+
+def test_language_id_reads_long_batches_in_turns(monkeypatch):
+    """A batch becomes Python strings a bounded number of bytes at a time, with the same predictions."""
+    import numpy as np
+    import pyarrow as pa
+
+    from sourceloom.llm import language_id as L
+
+    texts = [None if i % 10 == 3 else "" if i % 10 == 4 else "the cat sat " * (i % 7) if i % 2 else "le chat noir " * (i % 5) for i in range(200)]
+    spec = L.fit(texts[:100], ["en" if i % 2 else "fr" for i in range(100)]) | {"id": "turns"}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts, pa.string())], names=["doc_id", "_text"])
+    model = type("Model", (), {"value": spec})
+    whole = [b.to_pydict() for b in L._labelled(iter([batch]), model, ["doc_id"])]
+    monkeypatch.setattr(L, "TURN_BYTES", 300)
+    turns = list(L._turns(np.array([len(t or "") for t in texts])))
+    assert [a for a, _ in turns[1:]] == [b for _, b in turns[:-1]] and (turns[0][0], turns[-1][1]) == (0, 200) and len(turns) > 10
+    assert all(sum(len(t or "") for t in texts[a:b]) <= 300 or b == a + 1 for a, b in turns)
+    again = [b.to_pydict() for b in L._labelled(iter([batch]), model, ["doc_id"])]
+    assert [r["lang_pred"] for r in again] == [r["lang_pred"] for r in whole]
+    assert all(abs(x - y) < 1e-6 for r, s in zip(again, whole) for x, y in zip(r["score"], s["score"]))
