@@ -28,7 +28,7 @@ STEP_SEQUENCES, STRETCH = 32, 12
 #: Parts of a fitting text that are read, at hashed places over the whole of it, and characters of each.
 PARTS, PART_CHARS = 4, 150
 #: Texts of an Arrow batch that are split into words together, and their bytes.
-TURN_ROWS, TURN_BYTES = 2000, 1 << 20
+TURN_ROWS, TURN_BYTES = 2000, 1 << 21
 
 _WORD = regex.compile(r"[\p{L}\p{M}']*\p{L}[\p{L}\p{M}']*")
 
