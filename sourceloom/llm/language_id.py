@@ -149,9 +149,6 @@ class Lexicon(dict):
         return self.table[at]
 
 
-_lexicons: dict[str, Lexicon] = {}
-
-
 def _turns(size: np.ndarray) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``TURN_ROWS`` texts and, but for a longer text on its own, ``TURN_BYTES`` bytes."""
     ends, at = np.cumsum(size, dtype=np.int64), 0
@@ -162,13 +159,13 @@ def _turns(size: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def _labelled(batches: Iterator[pa.RecordBatch], model, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _labelled(batches: Iterator[pa.RecordBatch], model, keep: list[str], text_col: str = "_text") -> Iterator[pa.RecordBatch]:
     spec = model.value
     names, move = spec["names"], spec["move"]
-    lexicon = _lexicons.get(spec["id"])
+    # Kept with the model: Spark drops both from a worker when tasks of another stage come to it.
+    lexicon = spec.get("lexicon")
     if lexicon is None:
-        _lexicons.clear()
-        lexicon = _lexicons[spec["id"]] = Lexicon(spec["weight"])
+        lexicon = spec["lexicon"] = Lexicon(spec["weight"])
 
     def of_group(texts: list[list[str]]) -> list[np.ndarray]:
         length = np.array([len(ws) for ws in texts])
@@ -180,10 +177,10 @@ def _labelled(batches: Iterator[pa.RecordBatch], model, keep: list[str]) -> Iter
 
     for batch in batches:
         language, value = ["und"] * len(batch), [0.0] * len(batch)
-        size = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
         for at, to in _turns(size) if names else ():
             # Texts become Python strings turn by turn: a whole batch of them and their words would fill the worker.
-            texts = enumerate(batch.column("_text").slice(at, to - at).to_pylist(), at)
+            texts = enumerate(batch.column(text_col).slice(at, to - at).to_pylist(), at)
             words = {i: ws for i, text in texts if (ws := words_of(text))}
             order = sorted(words, key=lambda i: -len(words[i]))
             while order:
@@ -237,10 +234,12 @@ def identify(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
             if seen[row.l] <= FIT_DOCS:
                 texts.append(row.t)
                 labels.append(row.l)
-    spec = fit(texts, labels) | {"id": f"{spark.sparkContext.applicationId}-{id(texts)}-{hash(tuple(texts[:50]))}"}
-    model = spark.sparkContext.broadcast(spec)
-    source = docs.select(*(F.col(f"`{c}`") for c in docs.columns), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("_text"))
-    keep = [c for c in source.columns if c != "_text"]
+    model = spark.sparkContext.broadcast(fit(texts, labels))
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    source = docs.select(*(F.col(f"`{c}`") for c in docs.columns), held_out(F.col(id_col)).alias("held_out"))
+    if docs.schema[text_col].dataType != StringType():
+        source = source.withColumn("_text", F.col(text_col).cast("string"))
+        text_col = "_text"  # else the texts go to the workers once
+    keep = [c for c in source.columns if c != "_text"]
     schema = StructType([f for f in source.schema.fields if f.name != "_text"] + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return source.mapInArrow(partial(_labelled, model=model, keep=keep), schema).select(*through, "held_out", "lang_pred", "score")
+    return source.mapInArrow(partial(_labelled, model=model, keep=keep, text_col=text_col), schema).select(*through, "held_out", "lang_pred", "score")

@@ -290,3 +290,28 @@ def test_language_id_reads_long_batches_in_turns(monkeypatch):
     again = [b.to_pydict() for b in L._labelled(iter([batch]), model, ["doc_id"])]
     assert [r["lang_pred"] for r in again] == [r["lang_pred"] for r in whole]
     assert all(abs(x - y) < 1e-6 for r, s in zip(again, whole) for x, y in zip(r["score"], s["score"]))
+
+
+def test_language_id_frees_its_words_with_the_model_and_moves_texts_once(spark):
+    """A reused worker holds no scores of a model that is gone, and a text column goes to the workers once."""
+    import gc
+    import weakref
+
+    import pyarrow as pa
+
+    from sourceloom.llm import language_id as L
+
+    spec = L.fit(["the cat sat", "le chat noir"], ["en", "fr"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["the cat"])], names=["doc_id", "text"])
+    model = type("Model", (), {})()
+    model.value = spec
+    assert [b.to_pydict()["lang_pred"] for b in L._labelled(iter([batch]), model, ["doc_id"], "text")] == [["en"]]
+    held = weakref.ref(spec["lexicon"])
+    del spec, model
+    gc.collect()
+    assert held() is None
+    docs = spark.createDataFrame([(1, "the cat", "en"), (2, "le chat", "fr")], "doc_id bigint, text string, lang string")
+    plan = L.identify(docs)._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "_text" not in plan
+    as_bytes = docs.withColumn("text", docs.text.cast("binary"))
+    assert L.identify(as_bytes).select("doc_id").count() == 2
