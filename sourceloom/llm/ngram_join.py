@@ -8,7 +8,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sourceloom.llm.common import only, ship, store, without
 from sourceloom.llm.components import components
@@ -18,6 +18,8 @@ from sourceloom.llm.kernels import Words, mixed, raw, shingles, steps
 SLOTS, BLOCKS = 1 << 22, 64
 #: Fragments of the global order.
 FRAGMENTS = 4
+#: Bytes of text whose shingles are made at once.
+SET_BYTES = 1 << 20
 #: Posting lists up to this length are compared pair by pair, longer ones with hubs until nothing is left to compare.
 PLAIN_LIST = 4
 #: Bits of a set's parity map: bit ``i`` says whether an odd number of its shingles fell on ``i``.
@@ -31,7 +33,7 @@ _U = np.uint64
 def _sets(batch: pa.RecordBatch, k: int):
     """Distinct shingles of some rows at a time: first row, row of each shingle, shingle, counts and set ids per row."""
     data, offsets = raw(batch.column("_text"))
-    for a, b in steps(offsets):
+    for a, b in steps(offsets, SET_BYTES):
         h, row = shingles(Words(data, offsets[a:b + 1]), k)
         order = np.lexsort((h, row))
         h, row = h[order], row[order]
@@ -170,6 +172,8 @@ class NgramJoin:
             mass = [x + y for x, y in zip(mass, p.mass)]
         self.classes = spark.sparkContext.broadcast(table.tobytes())
         self.pivots = _pivots(mass, FRAGMENTS)
+        # Only repeated or missing ids bring a set's text to its segments more than once.
+        self.repeated = self.sets.where("n > 0").groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").limit(1).count() > 0
         self.reps = store(self.sets.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("map").alias("map")), "ngram-sets")
 
     def _texts(self) -> DataFrame:
@@ -202,9 +206,11 @@ class NgramJoin:
         if needed.where("doc_id IS NULL").limit(1).count():
             texts = texts.unionByName(self.docs.where("doc_id IS NULL"))
         parts = texts.mapInArrow(partial(_segments, k=self.k, classes=self.classes, pivots=self.pivots), "id bigint, fragment int, grams array<bigint>")
-        parts = store(parts.dropDuplicates(["id", "fragment"]), "ngram-segments")
+        parts = store(parts.dropDuplicates(["id", "fragment"]) if self.repeated else parts, "ngram-segments")
         sizes = parts.groupBy("id").agg(F.sum(F.size("grams")).alias("n"))
-        left = pairs.join(parts.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("ga")).hint("merge"), "a")
+        # Both joins are dealt by id and fragment, so the second one reuses the segments that the first one moved.
+        each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(len(self.pivots)))))
+        left = each.join(parts.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("ga")).hint("merge"), ["a", "fragment"])
         both = left.join(parts.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("gb")).hint("merge"), ["b", "fragment"])
         counted = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("o")).groupBy("a", "b").agg(F.sum("o").alias("o"))
         sized = counted.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
@@ -216,9 +222,12 @@ class NgramJoin:
         postings = store(rows, "ngram-prefixes")
         # Near copies share most of their keys, so most of their lists have the same members.  Of such lists the first key in the
         # global order stands earliest in each member: its bounds let through every pair that the others would.
+        # Most keys stand in one set: all postings move once, to leave those out.
         members = lambda seed: F.bit_xor(F.xxhash64("id", F.lit(seed)))
-        shared = postings.groupBy("key").agg(F.count("*").alias("m"), members(1).alias("s1"), members(2).alias("s2")).where("m > 1")
-        shared = shared.groupBy("m", "s1", "s2").agg(F.min("key").alias("key")).select("key", "m")
+        counted = postings.repartition("key").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1")
+        postings = store(counted, "ngram-shared")
+        shared = postings.groupBy("key", "m").agg(members(1).alias("s1"), members(2).alias("s2"))
+        shared = shared.groupBy("m", "s1", "s2").agg(F.min("key").alias("key")).select("key")
         lists = postings.join(shared.hint("merge"), "key")
         lists = store(lists.join(self.reps.select("id", "map").hint("merge"), "id"), "ngram-lists")
         short, long = lists.where(f"m <= {PLAIN_LIST}"), lists.where(f"m > {PLAIN_LIST}")

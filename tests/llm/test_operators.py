@@ -99,6 +99,32 @@ def test_ngram_join_long_lists_keep_chains(spark):
     assert got == {0}
 
 
+def test_ngram_join_moves_postings_and_segments_once(spark, tmp_path, monkeypatch):
+    """All postings are dealt once, and segments once for both sides of a pair; repeated rows and null ids count once."""
+    import re
+
+    from sourceloom.llm import ngram_join as N
+
+    plans = {}
+
+    def kept(df, purpose, store=N.store):
+        plans.setdefault(purpose, df._jdf.queryExecution().executedPlan().toString())
+        return store(df, purpose)
+
+    monkeypatch.setattr(N, "store", kept)
+    words = [f"w{i}" for i in range(300)]
+    docs = [(10 * n, " ".join(words[30 * n + i] for i in range(60)), "en", "a") for n in range(8)]
+    docs += [(d + 1, t + " end", l, s) for d, t, l, s in docs]
+    got = {r.doc_id: r.component_id for r in ngram_components(frame(spark, docs)).collect()}
+    assert got == {d: d - d % 10 for d, *_ in docs}
+    assert "keys=[id#" not in plans["ngram-segments"] and "ngram-prefixes" not in plans["ngram-lists"]
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\w+)#", plans["ngram-links"])
+    assert {("a", "fragment"), ("b", "fragment")} <= set(dealt)
+    odd = docs + docs[:2] + [(None, docs[0][1] + " close", "en", "a")] * 2
+    rows = [(r.doc_id, r.component_id) for r in ngram_components(frame(spark, odd)).collect()]
+    assert sorted(rows, key=str) == sorted([(d, d - d % 10) for d, *_ in docs + docs[:2]] + [(None, 0)] * 2, key=str)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(40, 30), (31, 40)], "u bigint, v bigint")
     got = {r.id: r.label for r in components(edges).collect()}
