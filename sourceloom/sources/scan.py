@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator, Sequence
+from itertools import islice
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sourceloom.functions.paths import SUFFIX_GLOB, is_ignored, language_of
+from sourceloom.functions.paths import is_ignored, language_of
 from sourceloom.functions.text import normalize_newlines
 from sourceloom.operators.predicates import decoded, is_binary, is_text
 from sourceloom.sources.shared import stored
@@ -55,17 +59,52 @@ def wanted(relative: Column, patterns: Sequence[str], languages: Sequence[str] |
     return chosen & ~is_ignored(relative, patterns)
 
 
+# A worker sends listed names and read files on in batches of so many rows or bytes.
+BATCH_ROWS = 10_000
+BATCH_BYTES = 4 << 20
+
+
+def _places():
+    """A function from a location as Hadoop writes it, nothing escaped, to its file system and the path there."""
+    from pyarrow import fs as arrow_fs
+
+    known = {"": (arrow_fs.LocalFileSystem(), "")}
+
+    def place(uri: str):
+        prefix, path = re.match(r"((?:[A-Za-z][\w+.-]*:)?(?://[^/]*)?)(.*)", uri, re.S).groups()
+        prefix = "" if prefix in ("file:", "file://") else prefix
+        if prefix not in known:
+            store, found = arrow_fs.FileSystem.from_uri(prefix + quote(path))
+            known[prefix] = store, found[:len(found) - len(path)]
+        return known[prefix][0], known[prefix][1] + path
+
+    return place
+
+
 def _entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What stands directly in each folder."""
+    """What stands directly in each folder, a batch of names at a time."""
     from pyarrow import fs as arrow_fs
 
+    place = _places()
+
+    def standing(uri: str) -> Iterator[tuple[str, bool]]:
+        store, folder = place(uri)
+        if isinstance(store, arrow_fs.LocalFileSystem):  # name by name: a folder may hold very many
+            with os.scandir(folder) as found:
+                for i in found:
+                    if i.is_dir() or i.is_file():
+                        yield i.name, i.is_dir()
+        else:
+            for i in store.get_file_info(arrow_fs.FileSelector(folder)):
+                if i.type in (arrow_fs.FileType.File, arrow_fs.FileType.Directory):
+                    yield i.base_name, i.type == arrow_fs.FileType.Directory
+
     for frame in frames:
         for uri, below in zip(frame.uri, frame.path):
-            store, place = arrow_fs.FileSystem.from_uri(uri)
-            prefix = uri[:len(uri) - len(place)]
-            found = [i for i in store.get_file_info(arrow_fs.FileSelector(place)) if i.type in (arrow_fs.FileType.File, arrow_fs.FileType.Directory)]
-            yield pd.DataFrame([(prefix + i.path, f"{below}/{i.base_name}" if below else i.base_name, i.type == arrow_fs.FileType.Directory) for i in found],
-                               columns=["uri", "path", "folder"])
+            names = standing(uri)
+            while found := list(islice(names, BATCH_ROWS)):
+                yield pd.DataFrame([(f"{uri.rstrip('/')}/{name}", f"{below}/{name}" if below else name, folder) for name, folder in found],
+                                   columns=["uri", "path", "folder"])
 
 
 def list_tree(spark: SparkSession, root: str, patterns: Sequence[str] = (), languages: Sequence[str] | None = None) -> DataFrame:
@@ -93,17 +132,33 @@ def list_tree(spark: SparkSession, root: str, patterns: Sequence[str] = (), lang
             return found
 
 
-def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs as arrow_fs
-
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            store, place = arrow_fs.FileSystem.from_uri(row.uri)
-            info = store.get_file_info(place)
-            with store.open_input_stream(place) as stream:
-                content = stream.read()
-            yield pd.DataFrame([{"path": row.path, "language": row.language, "content": content,
-                                 "length": len(content), "modificationTime": pd.Timestamp(info.mtime)}])
+def _reader(most: int):
+    """Reads listed files in the tasks, a batch of bytes at a time; a longer file than ``most`` bytes is an error."""
+    def read(batches):
+        import pyarrow as pa
+
+        place = _places()
+        kind = pa.schema([("path", pa.string()), ("language", pa.string()), ("content", pa.binary()), ("length", pa.int64()),
+                          ("modificationTime", pa.timestamp("us", "UTC"))])
+        rows, held = [], 0
+        for batch in batches:
+            for listed in batch.to_pylist():
+                store, at = place(listed["uri"])
+                info = store.get_file_info(at)
+                if (info.size or 0) > most:
+                    raise ValueError(f"{listed['uri']} has {info.size} bytes; spark.sql.sources.binaryFile.maxLength is {most}")
+                with store.open_input_stream(at) as stream:
+                    content = stream.read()
+                rows.append({"path": listed["path"], "language": listed["language"], "content": content, "length": len(content),
+                             "modificationTime": (info.mtime_ns or 0) // 1_000_000 * 1000})
+                held += len(content)
+                if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                    yield pa.RecordBatch.from_pylist(rows, kind)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, kind)
+
+    return read
 
 
 def list_corpus(
@@ -111,23 +166,23 @@ def list_corpus(
 ) -> DataFrame:
     """Files of a tree with raw content.
 
-    The suffix glob prunes the listing, and the ignore and language predicates
-    read only file metadata, so no excluded file is opened.
+    Tasks list the tree and read the files, so the driver holds no table of the files, as Spark's own file index
+    would.  Rules and languages are tested on the listed paths, so no excluded file is opened.
     """
     patterns = ignore_patterns(spark, root, ignore_file)
-    base = base_path(spark, root)
-    raw = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", SUFFIX_GLOB).load(root)
-    )
-
-    relative = relative_path(F.col("_metadata.file_path"), base)
-    seen = raw.where(wanted(relative, patterns, languages)).select(
-        relative.alias("path"), language_of(relative).alias("language"), "content", "length", "modificationTime")
-    hidden = F.exists(F.split("path", "/"), lambda s: s.startswith(".") | (s.startswith("_") & ~s.contains("=")))
-    unseen = list_tree(spark, root, patterns, languages).where(hidden).withColumn("language", language_of(F.col("path")))
-    spread = unseen.repartition(spark.sparkContext.defaultParallelism, "path")
-    return seen.unionByName(spread.mapInPandas(_read, seen.schema))
+    fs, path = filesystem(spark, root)
+    if not fs.exists(path):
+        spark.read.format("binaryFile").load(root)  # raises Spark's PATH_NOT_FOUND
+    # As with Spark's file reader, half-copied folders and empty files stay out, unless a name on the way hides them from it.
+    names = F.split("path", "/")
+    hidden = F.exists(names, lambda s: s.startswith(".") | (s.startswith("_") & ~s.contains("=")))
+    listed = list_tree(spark, root, patterns, languages).where(hidden | ~F.exists(names, lambda s: s.endswith("._COPYING_")))
+    listed = listed.withColumn("language", language_of(F.col("path")))
+    partitions = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1)))
+    read = listed.repartition(partitions, "path").mapInArrow(
+        _reader(most), "path string, language string, content binary, length bigint, modificationTime timestamp")
+    return read.where(hidden | (F.col("length") > 0))
 
 
 def scan_corpus(

@@ -3,11 +3,13 @@
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from sourceloom.operators import embed as E
 from sourceloom.operators.snapshots import Snapshots
+from sourceloom.sources import scan
 from sourceloom.sources.scan import list_tree, scan_corpus
 from sourceloom.streaming.sync import chunks_of, sync
 
@@ -107,3 +109,31 @@ def test_many_queries_against_brute_force(spark, monkeypatch):
         assert [(a, b) for a, b, _ in sorted(got.get(name, []))] == [(a, b) for a, b, _ in want], name
         assert np.allclose([s for *_, s in sorted(got.get(name, []))], [s for *_, s in want])
     assert E.nearest_many(p.limit(0), q, 3).count() == 0 and E.nearest_many(p, q.limit(0), 3).count() == 0
+
+
+def test_a_tree_is_scanned_without_an_index_of_its_files_on_the_driver(spark, tmp_path, monkeypatch):
+    """Tasks list and read the files in bounded batches; names with blanks and percent signs are plain names."""
+    names = {"my dir/a.py": b"a", "p%20q/b c.py": b"b\xff", "c+d/e#f.go": b"\x00", "_metadata.py": b"m", "_h/g.py": b"", "i/j.py": b"", "k.py/l.py": b"l" * 30}
+    for name, content in names.items():
+        (tmp_path / "ro ot" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "ro ot" / name).write_bytes(content)
+    listed = scan.list_corpus(spark, str(tmp_path / "ro ot"))
+    # Outside hidden folders an empty file is left out as Spark's reader leaves it out.
+    want = {n: c for n, c in names.items() if n != "i/j.py"}
+    assert sorted((r.path, bytes(r.content), r.length) for r in listed.collect()) == sorted((n, c, len(c)) for n, c in want.items())
+    sources = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert "binaryFile" not in sources and not any("ro ot" in f for f in listed.inputFiles())
+    monkeypatch.setattr(scan, "BATCH_ROWS", 2)
+    top = pd.DataFrame([(f"file:{tmp_path}/ro ot", "")], columns=["uri", "path"])
+    frames = list(scan._entries(iter([top])))
+    assert [len(f) for f in frames] == [2, 2, 2, 1] and set(pd.concat(frames).path) == {n.split("/")[0] for n in names}
+    (tmp_path / "ro ot" / ".rules").write_text("k.py/\n")
+    kept = scan_corpus(spark, f"file://{tmp_path}/ro ot/", ["python"], ".rules")
+    assert sorted((r.path, r.text) for r in kept.collect()) == [("_h/g.py", ""), ("_metadata.py", "m"), ("my dir/a.py", "a")]
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 20)
+    try:
+        with pytest.raises(Exception, match="maxLength"):
+            scan_corpus(spark, str(tmp_path / "ro ot"), ["python"]).count()
+        assert scan_corpus(spark, str(tmp_path / "ro ot"), ["go"]).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
