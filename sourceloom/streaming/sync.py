@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sourceloom.operators.chunks import extract_functions
@@ -14,6 +16,22 @@ def chunks_of(spark: SparkSession, place: str) -> Snapshots:
     return Snapshots(spark, f"{place.rstrip('/')}/chunks", ["file_path"])
 
 
+# Fixed value: HotSpot never compiles a method of more bytes.
+COMPILED_BYTES = 8000
+
+
+@contextmanager
+def compiled(spark: SparkSession):
+    """While it lasts, Spark splits generated code that the JVM would only interpret, as that of all languages' patterns."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), COMPILED_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def sync(spark: SparkSession, files: DataFrame, place: str) -> int:
     """Brings the collection under ``place`` to ``files(path, language, text)`` and returns its version.
 
@@ -22,6 +40,11 @@ def sync(spark: SparkSession, files: DataFrame, place: str) -> int:
     The chunks are committed before the digests, so after a stop between the two the next run does the same change again.  Run it
     on a schedule, or per micro-batch of a stream of change notices; a path stands once in ``files``.
     """
+    with compiled(spark):
+        return _synced(spark, files, place)
+
+
+def _synced(spark: SparkSession, files: DataFrame, place: str) -> int:
     chunks, digests = chunks_of(spark, place), Snapshots(spark, f"{place.rstrip('/')}/digests", ["path"])
     now = stored(manifest(files, content="text"), "digests")
     if not digests.versions():

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from sourceloom.operators import embed as E
 from sourceloom.operators.snapshots import Snapshots
+from sourceloom.operators.blocks import _candidates, by_path, located, pieces
+from sourceloom.operators.chunks import extract_functions
+from sourceloom.plans import queries
 from sourceloom.sources import scan
 from sourceloom.sources.scan import list_tree, scan_corpus
+from sourceloom.streaming import sync as sync_module
 from sourceloom.streaming.sync import chunks_of, sync
 
 
@@ -137,3 +141,43 @@ def test_a_tree_is_scanned_without_an_index_of_its_files_on_the_driver(spark, tm
         assert scan_corpus(spark, str(tmp_path / "ro ot"), ["go"]).count() == 0
     finally:
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_only_pieces_with_events_have_their_headers_read(spark):
+    """Statements of brace languages leave before the patterns of headers; Python's lines stay, since they end blocks."""
+    java = "class A {\n  int x = 1;\n  void g() { x++; x--; }\n  abstract int k(int a);\n}\n"
+    files = spark.createDataFrame([("a", "java", java), ("b", "python", "x = 1\ndef f():\n    y()\n")], "path string, language string, text string")
+    kept = _candidates(located(pieces(by_path(files)))).select("path", "term", "bodiless", "piece").collect()
+    assert sorted(r.piece.strip() for r in kept if r.path == "a") == ["abstract int k(int a);", "class A {", "void g() {", "}", "}"], kept
+    assert sum(r.path == "b" for r in kept) == 4
+    assert sorted((r.file_path, r.name) for r in extract_functions(files).collect()) == [("a", "g"), ("a", "k"), ("b", "f")]
+
+
+def test_sync_lets_the_jvm_compile_the_extraction(spark, tmp_path, monkeypatch):
+    """Generated methods stay under the size that HotSpot compiles, and the session's own limit comes back, after an error too."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before, seen = spark.conf.get(name), []
+    files = spark.createDataFrame([("a.py", "python", "def f(): pass\n")], "path string, language string, text string")
+
+    def watched(*args, **options):
+        seen.append(int(spark.conf.get(name)))
+        return extract_functions(*args, **options)
+
+    monkeypatch.setattr(sync_module, "extract_functions", watched)
+    assert sync(spark, files, str(tmp_path / "out")) == 1
+    assert seen == [8000] and spark.conf.get(name) == before
+    with pytest.raises(Exception, match="nothing"):
+        sync(spark, files.select("path", "language", F.raise_error(F.lit("nothing")).cast("string").alias("text")), str(tmp_path / "other"))
+    assert spark.conf.get(name) == before
+
+
+def test_the_corpus_of_a_sync_is_rendered_once(spark, tmp_path, monkeypatch):
+    """Both runs of the query read the same stored corpus."""
+    rows = [(key, f"w{key % 3} x", key % 5) for key in range(90)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    given = []
+    monkeypatch.setattr(queries, "sync", lambda session, files, place: (given.append(files), sync(session, files, place)))
+    found = queries.QUERIES["corpus_sync"](spark, str(tmp_path))
+    assert len(given) == 2 and all("part.parquet" not in f for files in given for f in files.inputFiles())
+    whole = extract_functions(queries.corpus_files(spark, str(tmp_path)), columns=("file_path", "name", "start_line", "end_line"))
+    assert content(found) == content(whole) != []
